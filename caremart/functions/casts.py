@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caremart.functions.dates import month_day_year
+from caremart.functions.numbers import text_to_fraction, text_to_int
 
 CAST_RULES: dict[str, Callable[[Column], Column]] = {
     "string": lambda c: c,
-    "int": lambda c: c.try_cast("int"),
-    "float": lambda c: c.try_cast("float"),
-    "double": lambda c: c.try_cast("double"),
-    "money": lambda c: F.round(c.try_cast("double"), 2),
+    "int": text_to_int,
+    "float": lambda c: text_to_fraction(c, "float"),
+    "double": lambda c: text_to_fraction(c, "double"),
+    "money": lambda c: F.round(text_to_fraction(c, "double"), 2),
     "mdy": month_day_year,
 }
 
@@ -53,6 +54,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         if have == field.dataType:
             return column
         if isinstance(have, T.StringType):
+            if isinstance(field.dataType, T.IntegerType):
+                return text_to_int(column).alias(field.name)
+            if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+                kind = field.dataType.simpleString()
+                return text_to_fraction(column, kind).alias(field.name)
             return column.try_cast(field.dataType).alias(field.name)
         return column.cast(field.dataType).alias(field.name)
 

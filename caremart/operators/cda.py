@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from caremart.functions.dates import cda_timestamp
 from caremart.functions.ids import hash_id
+from caremart.functions.numbers import text_to_fraction, text_to_int
 from caremart.schemas import (
     DOCUMENT_FIELDS,
     MEDICATION_FIELDS,
@@ -195,12 +196,13 @@ def _author_fields(owner: Column) -> dict[str, Column]:
 
 
 def _struct(fields: dict[str, Column], schema: T.StructType) -> Column:
-    return F.struct(
-        *[fields[f.name].try_cast(f.dataType).alias(f.name)
-          if not isinstance(f.dataType, (T.StringType, T.TimestampType))
-          else fields[f.name].alias(f.name)
-          for f in schema.fields]
-    )
+    def typed(field: T.StructField) -> Column:
+        column = fields[field.name]
+        if isinstance(field.dataType, T.FloatType):
+            column = text_to_fraction(column, "float")
+        return column.alias(field.name)
+
+    return F.struct(*[typed(f) for f in schema.fields])
 
 
 def _problem(act: Column) -> Column:
@@ -434,7 +436,7 @@ def parse_documents(docs: DataFrame, provider: str = "performer") -> DataFrame:
     for field in DOCUMENT_FIELDS.fields:
         column = fields[field.name]
         if isinstance(field.dataType, T.IntegerType):
-            column = column.try_cast("int")
+            column = text_to_int(column)
         columns.append(column.alias(field.name))
     out = parts.select(
         *keys,

@@ -18,8 +18,10 @@ from caremart.schemas import (
 )
 
 
-def _raw(df: DataFrame, name: str) -> Column:
-    return F.col(name) if name in df.columns else F.lit(None).cast("string")
+def _raw(df: DataFrame, *names: str) -> list[Column]:
+    """Landed columns as they are; one that the feed lacks is NULL."""
+    present = set(df.columns)
+    return [F.col(n) if n in present else F.lit(None).cast("string") for n in names]
 
 
 def typed_lines(bronze: DataFrame) -> DataFrame:
@@ -30,10 +32,11 @@ def typed_lines(bronze: DataFrame) -> DataFrame:
     """
     typed = apply_contract(MEDICAL_CONTRACT, bronze.columns)
     # The id and the flag look at the landed text, not at the typed values.
-    claim_id = hash_id(_raw(bronze, "ClaimID"), _raw(bronze, "LineNum"))
-    inpatient = F.when(
-        _raw(bronze, "AdmitDate").isNotNull() | _raw(bronze, "DischDate").isNotNull(), 1
-    ).otherwise(0)
+    claim, line, admitted, discharged = _raw(
+        bronze, "ClaimID", "LineNum", "AdmitDate", "DischDate"
+    )
+    claim_id = hash_id(claim, line)
+    inpatient = F.when(admitted.isNotNull() | discharged.isNotNull(), 1).otherwise(0)
     return bronze.select(
         claim_id.alias("medical_claim_id"),
         *typed.values(),
@@ -144,11 +147,9 @@ def claim_diagnoses(typed: DataFrame) -> DataFrame:
 def prescription_claims(bronze: DataFrame) -> DataFrame:
     """Distinct typed pharmacy claims with their id."""
     typed = apply_contract(PHARMACY_CONTRACT, bronze.columns)
-    raw = {n: _raw(bronze, n) for n in ("SequenceNumber", "ClaimID", "MemberID", "FromDate")}
     # The member counts twice: a fixed property of existing ids.
-    claim_id = hash_id(
-        raw["SequenceNumber"], raw["ClaimID"], raw["MemberID"], raw["MemberID"], raw["FromDate"]
-    )
+    parts = ["SequenceNumber", "ClaimID", "MemberID", "MemberID", "FromDate"]
+    claim_id = hash_id(*_raw(bronze, *parts))
     rows = bronze.select(claim_id.alias("prescription_claim_id"), *typed.values())
     return rows.select(*SILVER_PRESCRIPTION.fieldNames()).distinct()
 
