@@ -134,6 +134,7 @@ def test_documents_batch_and_stream(spark, tmp_path):
     source.mkdir()
     (source / "p1_d1_x.xml").write_text("<a>é</a>", encoding="utf-8")
     (source / "p2.xml").write_text("<b/>")
+    (source / "p4_d[4].xml").write_text("<c/>")
     (source / "p3_d3.txt").write_text("no")
     batch = read_documents(spark, str(source))
     assert batch.columns == schemas.BRONZE_DOCUMENTS.fieldNames()
@@ -141,7 +142,8 @@ def test_documents_batch_and_stream(spark, tmp_path):
         assert ingest.ingest_documents(
             spark, str(source), f"{work}/bronze", f"{work}/checkpoint", timeout=120)
     landed = ingest.read_landed(spark, f"{work}/bronze", schemas.BRONZE_DOCUMENTS)
-    want = [("p1", "d1", 9, "p1_d1_x.xml", "<a>é</a>"), ("p2.xml", None, 4, "p2.xml", "<b/>")]
+    want = [("p1", "d1", 9, "p1_d1_x.xml", "<a>é</a>"), ("p2.xml", None, 4, "p2.xml", "<b/>"),
+            ("p4", "d%5B4%5D.xml", 4, "p4_d%5B4%5D.xml", "<c/>")]
     names = ["patient_id", "document_id", "file_size_bytes", "file_name", "xml_string"]
     for df in (batch, landed):
         assert sorted(tuple(r) for r in df.select(*names).collect()) == want
