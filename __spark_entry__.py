@@ -67,6 +67,15 @@ class Silver:
     def claim(self) -> DataFrame:
         return claims.claim_lines(self.typed)
 
+    @property
+    def lines(self) -> DataFrame:
+        """What the gold builders read of claim lines.
+
+        They deduplicate on the few columns they use, so the full-width
+        distinct of the stored table adds nothing to their results.
+        """
+        return self.typed
+
     @property
     def procedure(self) -> DataFrame:
         return claims.claim_procedures(self.typed)
@@ -81,17 +90,13 @@ class Silver:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All model tables, on silver tables that are written once.
-
-    The way a pipeline runs: several gold tables read the same silver tables,
-    which would otherwise be recomputed for each.
-    """
+    """All model tables; documents are parsed once and staged."""
     s = Silver(spark, sf_dir, stage_documents=True)
     silver = {
         "ccda_docs_patient": s.patient,
         "ccda_docs_problem": s.problem,
         "ccda_docs_medication": s.medication,
-        "medical_claims_claim": tables.staged(s.claim, "claim"),
+        "medical_claims_claim": s.lines,
         "medical_claims_diagnosis": s.diagnosis,
         "medical_claims_procedure": s.procedure,
         "prescription_claim": s.rx,
@@ -203,7 +208,7 @@ def omop_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def omop_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir, stage_documents=True)
     return omop.omop_provider(
-        s.patient, s.medication, s.problem, s.claim, s.diagnosis, s.procedure, s.rx
+        s.patient, s.medication, s.problem, s.lines, s.diagnosis, s.procedure, s.rx
     )
 
 
@@ -213,17 +218,17 @@ def omop_procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def omop_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    return omop.omop_cost(s.claim, s.rx)
+    return omop.omop_cost(s.lines, s.rx)
 
 
 def omop_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = Silver(spark, sf_dir)
-    return omop.omop_visit(s.claim, s.patient)
+    return omop.omop_visit(s.lines, s.patient)
 
 
 def visit_cost_per_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Charges and payments per person over the visits of its claim lines."""
-    claim = Silver(spark, sf_dir).claim
+    claim = Silver(spark, sf_dir).lines
     no_documents = spark.createDataFrame([], schemas.SILVER_PATIENT)
     no_rx = spark.createDataFrame([], schemas.SILVER_PRESCRIPTION)
     visit = omop.omop_visit(claim, no_documents)
