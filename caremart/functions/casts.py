@@ -30,10 +30,11 @@ def apply_contract(
     file layout still yields the full silver schema.
     """
     present = set(available)
+    absent = F.lit(None).cast("string")
+    # One expression per rule serves all absent columns.
+    empty = {rule: CAST_RULES[rule](absent) for _, rule in contract}
     return {
-        name: CAST_RULES[rule](
-            F.col(name) if name in present else F.lit(None).cast("string")
-        ).alias(name)
+        name: (CAST_RULES[rule](F.col(name)) if name in present else empty[rule]).alias(name)
         for name, rule in contract
     }
 
@@ -45,11 +46,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     between typed columns keeps the session's own cast rules.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
+    # Types by name and one NULL per type: wide layouts are built quickly.
+    names = {f.dataType.simpleString() for f in schema.fields}
+    empty = {name: F.lit(None).cast(name) for name in names}
 
     def fitted(field: T.StructField) -> Column:
         have = kinds.get(field.name)
         if have is None:
-            return F.lit(None).cast(field.dataType).alias(field.name)
+            return empty[field.dataType.simpleString()].alias(field.name)
         column = F.col(f"`{field.name}`")
         if have == field.dataType:
             return column
@@ -59,7 +63,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
                 kind = field.dataType.simpleString()
                 return text_to_fraction(column, kind).alias(field.name)
-            return column.try_cast(field.dataType).alias(field.name)
-        return column.cast(field.dataType).alias(field.name)
+            return column.try_cast(field.dataType.simpleString()).alias(field.name)
+        return column.cast(field.dataType.simpleString()).alias(field.name)
 
     return df.select(*[fitted(f) for f in schema.fields])
