@@ -26,6 +26,13 @@ from caremart.sources import delimited, tables  # noqa: E402
 from caremart.sources.manifest import url_manifest  # noqa: E402
 from caremart.streaming import ingest  # noqa: E402
 
+try:
+    from caremart.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("caremart.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -539,7 +546,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {
+    named = {
         "claim_lines_typed": lambda s, d: Silver(s, d).claim,
         "claim_inpatient_flag": claim_inpatient_flag,
         "claim_procedures_long": lambda s, d: Silver(s, d).procedure,
@@ -595,9 +602,10 @@ def queries() -> dict[str, Query]:
         "person_layout": person_layout,
         "lakehouse_end_to_end": lakehouse_end_to_end,
     }
+    return named | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_text import oracles
 
-    return oracles()
+    return oracles() | (llm.oracle_sql() if llm else {})
