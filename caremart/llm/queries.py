@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from caremart.llm import line_dedup, mixing
+from caremart.llm import bpe, language, line_dedup, mixing
 
 
 def queries() -> dict:
     return {
         "op4_mix_sources": mixing.op4_mix_sources,
+        "op7_language_id": language.op7_language_id,
+        "op8_byte_bpe": bpe.op8_byte_bpe,
         "op10_line_dedup": line_dedup.op10_line_dedup,
     }
 
