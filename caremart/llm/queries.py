@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from caremart.llm import bpe, language, line_dedup, mixing
+from caremart.llm import bpe, embedding_dedup, language, line_dedup, mixing
 
 
 def queries() -> dict:
     return {
+        "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op7_language_id": language.op7_language_id,
         "op8_byte_bpe": bpe.op8_byte_bpe,
@@ -16,4 +17,8 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """Operators that SQL cannot express have none; tests hold them against brute force."""
-    return {"op4_mix_sources": mixing.OP4_SQL, "op10_line_dedup": line_dedup.OP10_SQL}
+    return {
+        "op1_embedding_near_dedup": embedding_dedup.OP1_SQL,
+        "op4_mix_sources": mixing.OP4_SQL,
+        "op10_line_dedup": line_dedup.OP10_SQL,
+    }
