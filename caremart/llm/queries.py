@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from caremart.llm import bpe, embedding_dedup, language, line_dedup, mixing
+from caremart.llm import bpe, chosen_path, embedding_dedup, language, line_dedup, mixing
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op4_mix_sources": mixing.op4_mix_sources,
         "op7_language_id": language.op7_language_id,
         "op8_byte_bpe": bpe.op8_byte_bpe,
+        "op9_minhash_near_dedup": chosen_path.op9_minhash_near_dedup,
         "op10_line_dedup": line_dedup.op10_line_dedup,
     }
 
