@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from caremart.llm import bpe, chosen_path, embedding_dedup, language, line_dedup, mixing
+from caremart.llm import bpe, chosen_path, embedding_dedup, language, line_dedup, mixing, simhash
 
 
 def queries() -> dict:
     return {
         "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
         "op4_mix_sources": mixing.op4_mix_sources,
+        "op5_simhash": simhash.op5_simhash,
         "op7_language_id": language.op7_language_id,
         "op8_byte_bpe": bpe.op8_byte_bpe,
         "op9_minhash_near_dedup": chosen_path.op9_minhash_near_dedup,
