@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from caremart.llm import bpe, chosen_path, embedding_dedup, html_text, language, line_dedup, mixing, simhash
+from caremart.llm import bpe, chosen_path, embedding_dedup, html_text, language, line_dedup, mixing, quality, simhash
 
 
 def queries() -> dict:
     return {
         "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
         "op2_html_text": html_text.op2_html_text,
+        "op3_quality_classifier": quality.op3_quality_classifier,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op5_simhash": simhash.op5_simhash,
         "op7_language_id": language.op7_language_id,
