@@ -248,9 +248,9 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` without the rows whose document another one of its component stands for."""
-    found = staged(near_documents(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    found = staged(near_documents(docs, percent=percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     return docs.join(found, docs["doc_id"] == found["_gone"], "left_anti")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from caremart.llm import bpe, chosen_path, embedding_dedup, html_text, language, line_dedup, mixing, quality, simhash
 
 
@@ -16,6 +17,7 @@ def queries() -> dict:
         "op8_byte_bpe": bpe.op8_byte_bpe,
         "op9_minhash_near_dedup": chosen_path.op9_minhash_near_dedup,
         "op10_line_dedup": line_dedup.op10_line_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
