@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from caremart.llm import bpe, chosen_path, embedding_dedup, html_text, language, line_dedup, mixing, quality, simhash
+from caremart.llm import bpe, chosen_path, embedding_dedup, html_text, language, line_dedup, mixing, quality, simhash, substring_dedup
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op3_quality_classifier": quality.op3_quality_classifier,
         "op4_mix_sources": mixing.op4_mix_sources,
         "op5_simhash": simhash.op5_simhash,
+        "op6_substring_dedup": substring_dedup.op6_substring_dedup,
         "op7_language_id": language.op7_language_id,
         "op8_byte_bpe": bpe.op8_byte_bpe,
         "op9_minhash_near_dedup": chosen_path.op9_minhash_near_dedup,
