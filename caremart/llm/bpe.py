@@ -152,9 +152,10 @@ def encode(docs: DataFrame, text: str = "text", offsets: bool = False, path: str
                     yield out(batch.slice(start, len(done)), done, texts[start : k + 1])
                     start, done, size = k + 1, [], 0
 
-    schema = T.StructType([docs.schema[c] for c in rest]).add("ids", "array<int>")
+    schema = T.StructType([docs.schema[c] for c in rest]).add("ids", T.ArrayType(T.IntegerType()))
     if offsets:
-        schema = schema.add("spans", "array<struct<start:int,end:int>>")
+        one = T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())
+        schema = schema.add("spans", T.ArrayType(one))
     return docs.select(*rest).mapInArrow(run, schema)
 
 

@@ -200,8 +200,8 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = """
 WITH RECURSIVE valid AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x <> 0)) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b
   ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
