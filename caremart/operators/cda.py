@@ -32,10 +32,12 @@ RXNORM = "2.16.840.1.113883.6.88"
 NO_INFORMATION = "NI"
 PROBLEM_TYPE_CONCEPT = "CCDA_XML_DOCS"
 
-# Sections may hold sections; this many levels are read below the body.
+# Sections may hold sections. The schema has this many levels of them below the
+# body, and more where a document has more.
 SECTION_DEPTH = 4
 
 _TEXT = T.ArrayType(T.StringType())
+_WILDCARD = "any_other"
 
 
 def _element(*attributes: str, **children: T.DataType) -> T.ArrayType:
@@ -71,14 +73,11 @@ def _document_schema(section_depth: int) -> T.StructType:
         statusCode=_element("code"),
         entryRelationship=_element(observation=observation),
     )
-    # All standard children of a material, since "has a child" is a test below.
+    # The wildcard takes every other child, since "has a child" is a test below.
     material = _element(
-        realmCode=_element("code"),
-        typeId=_element("root"),
-        templateId=_element("root"),
         code=_element(*coded, translation=translation),
         name=_TEXT,
-        lotNumberText=_TEXT,
+        **{_WILDCARD: _TEXT},
     )
     administration = _element(
         effectiveTime=period,
@@ -128,25 +127,44 @@ def _document_schema(section_depth: int) -> T.StructType:
     )
 
 
-CDA_SCHEMA = _document_schema(SECTION_DEPTH)
-
 _XML_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": "_corrupt_record",
+    "wildcardColName": _WILDCARD,
     "ignoreSurroundingSpaces": "false",
 }
 
 
-def read_cda(xml: Column) -> Column:
-    """Parse document text into the document struct.
+def section_depth(docs: DataFrame, xml: str = "xml_string") -> int:
+    """Levels of nested sections in the deepest document; one number over all.
+
+    Counts opening and closing section tags in the text. Tags in comments may
+    raise the number, which does no harm.
+    """
+    tags = F.regexp_extract_all(xml, F.lit(r"<(/?)(?:[^\s<>/!?:]+:)?section(?=[\s>])"), F.lit(1))
+    step = F.transform(tags, lambda t: F.when(t == "/", -1).otherwise(1))
+    level = F.aggregate(
+        step,
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda a, x: F.struct(
+            F.greatest(a["now"] + x, F.lit(0)).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most")
+        ),
+        lambda a: a["most"],
+    )
+    return docs.agg(F.max(level)).first()[0] or 0
+
+
+def read_cda(xml: Column, depth: int = SECTION_DEPTH) -> Column:
+    """Parse document text into the document struct, with ``depth`` levels of sections.
 
     Prefixed documents need namespace stripping; the others must not have it,
     because it would fold extension elements into the standard ones.
     """
-    prefixed = xml.rlike("<[A-Za-z0-9_]+:ClinicalDocument")
+    prefixed = xml.rlike(r"<[^\s<>/!?:]+:ClinicalDocument[\s>/]")
+    schema = _document_schema(depth)
     return F.when(
-        prefixed, F.from_xml(xml, CDA_SCHEMA, {**_XML_OPTIONS, "ignoreNamespace": "true"})
-    ).otherwise(F.from_xml(xml, CDA_SCHEMA, _XML_OPTIONS))
+        prefixed, F.from_xml(xml, schema, {**_XML_OPTIONS, "ignoreNamespace": "true"})
+    ).otherwise(F.from_xml(xml, schema, _XML_OPTIONS))
 
 
 def nodes(start: Column, path: str) -> Column:
@@ -248,11 +266,8 @@ _MATERIAL = "consumable/manufacturedProduct/manufacturedMaterial"
 
 
 def _has_child(material: Column) -> Column:
-    children = ["realmCode", "typeId", "templateId", "code", "name", "lotNumberText"]
-    found = material[children[0]].isNotNull()
-    for child in children[1:]:
-        found = found | material[child].isNotNull()
-    return found
+    found = [material[child].isNotNull() for child in ("code", "name", _WILDCARD)]
+    return found[0] | found[1] | found[2]
 
 
 def _medication(administration: Column) -> Column:
@@ -320,7 +335,7 @@ def _administrations(section: Column) -> Column:
     )
 
 
-def _sections(cda: Column) -> Column:
+def _sections(cda: Column, levels: int) -> Column:
     """Sections of the body, each level reduced to the fields that are read."""
 
     def reduced(found: Column) -> Column:
@@ -346,7 +361,7 @@ def _sections(cda: Column) -> Column:
             )
         )
 
-    return below(nodes(_one(cda), "component/structuredBody/component/section"), SECTION_DEPTH)
+    return below(nodes(_one(cda), "component/structuredBody/component/section"), levels)
 
 
 def _document_columns() -> dict[str, Column]:
@@ -396,7 +411,9 @@ def _document_columns() -> dict[str, Column]:
     }
 
 
-def parse_documents(docs: DataFrame, provider: str = "performer") -> DataFrame:
+def parse_documents(
+    docs: DataFrame, provider: str = "performer", depth: int | None = None
+) -> DataFrame:
     """Parse ``xml_string`` of ``patient_id, document_id, xml_string`` rows.
 
     Gives the document fields, the ``problems`` and ``medications`` arrays and
@@ -405,18 +422,23 @@ def parse_documents(docs: DataFrame, provider: str = "performer") -> DataFrame:
     ``provider`` says who a document's provider is: its ``performer``, or the
     author of its ``last_entry`` where it has entries, for results equal to
     tables built that way.
+
+    ``depth`` is how deep sections may nest; without it the documents are
+    looked through for their deepest section first, so none is left out.
     """
+    if depth is None:
+        depth = max(SECTION_DEPTH, section_depth(docs))
     if provider not in ("performer", "last_entry"):
         raise ValueError("provider must be 'performer' or 'last_entry'")
     keys = ["patient_id", "document_id"]
     # Stepwise projections keep each parse and lookup single: the optimizer
     # does not merge a costly column into several uses of it.
-    parsed = docs.select(*keys, read_cda(F.col("xml_string")).alias("cda"))
+    parsed = docs.select(*keys, read_cda(F.col("xml_string"), depth).alias("cda"))
     parts = parsed.select(
         *keys,
         "cda",
         nodes(F.array("cda"), "recordTarget/patientRole").alias("role"),
-        _sections(F.col("cda")).alias("sections"),
+        _sections(F.col("cda"), depth).alias("sections"),
     ).select(
         "*",
         nodes(F.col("role"), "patient").alias("patient"),

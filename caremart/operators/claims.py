@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,6 +151,3 @@ def prescription_claims(bronze: DataFrame) -> DataFrame:
     rows = bronze.select(claim_id.alias("prescription_claim_id"), *typed.values())
     return rows.select(*SILVER_PRESCRIPTION.fieldNames()).distinct()
 
-
-def union_rows(*frames: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

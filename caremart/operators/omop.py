@@ -121,7 +121,21 @@ def omop_drug_exposure(medication: DataFrame, rx: DataFrame) -> DataFrame:
 
 
 def omop_condition(problem: DataFrame, diagnosis: DataFrame) -> DataFrame:
-    """Problems of documents and diagnoses of claims."""
+    """Problems of documents and diagnoses of claims.
+
+    The type constant tells the branches apart, so each is made distinct by
+    itself, on raw values and before provider ids are hashed: what only feeds
+    an id is taken in the form in which the id sees it.
+    """
+    problem = problem.select(
+        "problem_id", "patient_id", "condition_concept_id", "condition_start_date", "condition_end_date",
+        "condition_type_concept_id", "condition_source_value", "condition_source_concept_id", "problem_status",
+        *_blank_to_text("provider_id", "provider_fname", "provider_lname"),
+    ).distinct()
+    diagnosis = diagnosis.select(
+        "condition_occurrence_id", "MemberID", "condition_start_date", "condition_end_date", "Diagnosis_Code",
+        "Diagnosis_Type", *_blank_to_text("ProviderID"),
+    ).distinct()
     from_documents = problem.select(
         F.col("problem_id").alias("condition_occurrence_id"),
         F.col("patient_id").alias("person_id"),
@@ -150,7 +164,7 @@ def omop_condition(problem: DataFrame, diagnosis: DataFrame) -> DataFrame:
         F.col("Diagnosis_Type").alias("condition_status_source_value"),
     )
     schema = schemas.CONDITION_OCCURRENCE
-    return conform(from_documents, schema).unionByName(conform(from_claims, schema)).distinct()
+    return conform(from_documents, schema).unionByName(conform(from_claims, schema))
 
 
 def omop_provider(
@@ -266,10 +280,18 @@ _COST_ID = [
 _VISIT_INPUT = ["medical_claim_id", "MemberID", "POS", "ClaimID", "AdmitSource", "DischargeStatus"]
 
 
-def _visit_lines(claim: DataFrame, *extra: str) -> DataFrame:
-    """Distinct claim lines as far as a visit id and ``extra`` can tell them."""
+def _visit_lines(claim: DataFrame, *extra: str, id_only: bool = False) -> DataFrame:
+    """Distinct claim lines as far as a visit id and ``extra`` can tell them.
+
+    With ``id_only`` no column but those in ``extra`` is shown elsewhere, so
+    all the others are taken in the form in which the id sees them: lines that
+    differ in NULL against empty text have one id and are one row.
+    """
+    texts = _VISIT_INPUT[1:]
+    slots = _blank_to_text(*texts) if id_only else [F.col(c) for c in texts]
     return claim.select(
-        *_VISIT_INPUT,
+        "medical_claim_id",
+        *slots,
         *_blank_to_text("ProviderID"),
         F.coalesce("AdmitDate", "FromDate").alias("AdmitDate"),
         F.coalesce("DischDate", "ToDate").alias("DischDate"),
@@ -280,7 +302,7 @@ def _visit_lines(claim: DataFrame, *extra: str) -> DataFrame:
 
 
 def _cost_of_visits(claim: DataFrame) -> DataFrame:
-    lines = _visit_lines(claim, "Billed", "Allowed", *_PAID_PARTS)
+    lines = _visit_lines(claim, "Billed", "Allowed", *_PAID_PARTS, id_only=True)
     rows = lines.select(
         "medical_claim_id",
         claim_visit_key().alias("cost_event_id"),
