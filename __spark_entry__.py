@@ -97,7 +97,11 @@ class Silver:
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All model tables; documents are parsed once and staged."""
+    """All model tables, each written once and read from there.
+
+    Checks read several columns of every table; from raw input each rule would
+    build its tables anew.
+    """
     s = Silver(spark, sf_dir, stage_documents=True)
     silver = {
         "ccda_docs_patient": s.patient,
@@ -108,13 +112,16 @@ def _gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "medical_claims_procedure": s.procedure,
         "prescription_claim": s.rx,
     }
-    return lakehouse.gold_tables(silver)
+    return {t: tables.staged(df, t) for t, df in lakehouse.gold_tables(silver).items()}
 
 
-def _everyone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return posing.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("person_id")
-    )
+def _cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The persons whose records are reviewed: customers of one market segment."""
+    customers = posing.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    return customers.select(F.col("c_custkey").cast("string").alias("person_id"))
+
+
+ONE_PERSON = "8"
 
 
 # --- silver ---------------------------------------------------------------
@@ -183,6 +190,35 @@ def malformed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cda.split_malformed(parsed)[1].select("patient_id", "document_id")
 
 
+def doc_nested_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose section lies up to six sections deep, by turn."""
+    depth = F.expr("cast(cast(substring_index(document_id, '-', -1) as bigint) % 7 as int)")
+    xml = F.regexp_replace("xml_string", "<section>", "<outer/><section>")
+    opened = F.concat(F.repeat(F.lit("<section><component>"), depth), F.lit("<section>"))
+    closed = F.concat(F.lit("</section>"), F.repeat(F.lit("</component></section>"), depth))
+    xml = F.replace(F.replace(xml, F.lit("<outer/><section>"), opened), F.lit("</section></component></structured"),
+                    F.concat(closed, F.lit("</component></structured")))
+    docs = posing.documents(spark, sf_dir).withColumn("xml_string", xml)
+    return cda.doc_problems(cda.parse_documents(docs))
+
+
+def doc_material_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose materials have one child only, which is no standard one."""
+    inner = "<manufacturedMaterial>.*?</manufacturedMaterial>"
+    other = "<manufacturedMaterial><vendorNote>x</vendorNote></manufacturedMaterial>"
+    xml = F.regexp_replace("xml_string", f"(?s){inner}", other)
+    docs = posing.documents(spark, sf_dir).withColumn("xml_string", xml)
+    return cda.doc_patients(cda.parse_documents(docs))
+
+
+def doc_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a prefix of letters, digits, dash and dot on every element."""
+    xml = F.regexp_replace("xml_string", "<(/?)(?=[A-Za-z])", "<$1h-7.x:")
+    xml = F.replace(xml, F.lit(" xmlns="), F.lit(" xmlns:h-7.x="))
+    docs = posing.documents(spark, sf_dir).withColumn("xml_string", xml)
+    return cda.doc_patients(cda.parse_documents(docs))
+
+
 def new_documents_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = posing.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("document_id"), F.col("o_orderstatus").alias("status")
@@ -252,28 +288,28 @@ def visit_cost_per_person(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_person(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.review_person(omop_person(spark, sf_dir), _everyone(spark, sf_dir))
+    return review.review_person(omop_person(spark, sf_dir), _cohort(spark, sf_dir))
 
 
 def review_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.review_visits(omop_visit(spark, sf_dir), _everyone(spark, sf_dir))
+    return review.review_visits(omop_visit(spark, sf_dir), _cohort(spark, sf_dir))
 
 
 def review_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.review_conditions(omop_condition(spark, sf_dir), _everyone(spark, sf_dir))
+    return review.review_conditions(omop_condition(spark, sf_dir), _cohort(spark, sf_dir))
 
 
 def review_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.review_procedures(omop_procedure(spark, sf_dir), _everyone(spark, sf_dir))
+    return review.review_procedures(omop_procedure(spark, sf_dir), _cohort(spark, sf_dir))
 
 
 def review_drugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.review_drugs(omop_drug_exposure(spark, sf_dir), _everyone(spark, sf_dir))
+    return review.review_drugs(omop_drug_exposure(spark, sf_dir), _cohort(spark, sf_dir))
 
 
 def review_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _gold(spark, sf_dir)
-    return review.review_providers(gold["person"], gold["provider"], _everyone(spark, sf_dir))
+    return review.review_providers(gold["person"], gold["provider"], _cohort(spark, sf_dir))
 
 
 def _review_costs(spark: SparkSession, sf_dir: str, who: review.Who) -> DataFrame:
@@ -282,11 +318,16 @@ def _review_costs(spark: SparkSession, sf_dir: str, who: review.Who) -> DataFram
 
 
 def review_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _review_costs(spark, sf_dir, _everyone(spark, sf_dir))
+    return _review_costs(spark, sf_dir, _cohort(spark, sf_dir))
 
 
 def review_costs_one_person(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _review_costs(spark, sf_dir, "8")
+    return _review_costs(spark, sf_dir, ONE_PERSON)
+
+
+def review_providers_one_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = _gold(spark, sf_dir)
+    return review.review_providers(gold["person"], gold["provider"], ONE_PERSON)
 
 
 # --- sources and streams --------------------------------------------------
@@ -474,12 +515,12 @@ def polymorphic_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def not_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _gold(spark, sf_dir)
-    return quality.not_null_report({t: gold[t] for t in ("person", "visit_occurrence", "cost")})
+    return quality.not_null_report(gold)
 
 
 def length_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _gold(spark, sf_dir)
-    return quality.length_report({t: gold[t] for t in ("drug_exposure", "condition_occurrence")})
+    return quality.length_report(gold)
 
 
 def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -559,6 +600,9 @@ def queries() -> dict[str, Query]:
         "doc_patients_last_author": doc_patients_last_author,
         "doc_problems": lambda s, d: Silver(s, d).problem,
         "doc_medications": lambda s, d: Silver(s, d).medication,
+        "doc_nested_sections": doc_nested_sections,
+        "doc_material_children": doc_material_children,
+        "doc_prefixes": doc_prefixes,
         "malformed_documents": malformed_documents,
         "new_documents_only": new_documents_only,
         "omop_person": omop_person,
@@ -577,6 +621,18 @@ def queries() -> dict[str, Query]:
         "review_providers": review_providers,
         "review_costs": review_costs,
         "review_costs_one_person": review_costs_one_person,
+        "review_providers_one_person": review_providers_one_person,
+        "review_person_one_person": lambda s, d: review.review_person(omop_person(s, d), ONE_PERSON),
+        "review_visits_one_person": lambda s, d: review.review_visits(omop_visit(s, d), ONE_PERSON),
+        "review_conditions_one_person": lambda s, d: review.review_conditions(
+            omop_condition(s, d), ONE_PERSON
+        ),
+        "review_procedures_one_person": lambda s, d: review.review_procedures(
+            omop_procedure(s, d), ONE_PERSON
+        ),
+        "review_drugs_one_person": lambda s, d: review.review_drugs(
+            omop_drug_exposure(s, d), ONE_PERSON
+        ),
         "url_manifest": _manifest,
         "missing_files": missing_files,
         "csv_rescued_ingest": csv_rescued_ingest,

@@ -420,7 +420,8 @@ def _with(*parts: str) -> str:
     return "WITH " + text
 
 
-_WHO = ", who AS (SELECT c_custkey::VARCHAR AS person_id FROM customer)"
+_WHO = """, who AS (SELECT c_custkey::VARCHAR AS person_id FROM customer
+ WHERE c_mktsegment = 'BUILDING')"""
 _PX_TEXT = _PX.removeprefix(_LINES)
 _ALL_GOLD = _with(
     _CLAIM, _PX_TEXT, _DX_TEXT, _RX, _DOCS, _PERSON_TEXT, _DRUG_TEXT, _CONDITION_TEXT,
@@ -488,6 +489,14 @@ def _fk_report() -> str:
 _REQUIRED = {
     "person": ["person_id", "gender_concept_id", "year_of_birth", "race_concept_id",
                "ethnicity_concept_id"],
+    "provider": ["provider_id"],
+    "condition_occurrence": ["condition_occurrence_id", "person_id", "condition_concept_id",
+                             "condition_start_date", "condition_type_concept_id"],
+    "drug_exposure": ["drug_exposure_id", "person_id", "drug_concept_id",
+                      "drug_exposure_start_date", "drug_exposure_end_date",
+                      "drug_type_concept_id"],
+    "procedure_occurrence": ["procedure_occurrence_id", "person_id", "procedure_concept_id",
+                             "procedure_start_date", "procedure_type_concept_id"],
     "visit_occurrence": ["visit_occurrence_id", "person_id", "visit_concept_id",
                          "visit_start_date", "visit_end_date", "visit_type_concept_id"],
     "cost": ["cost_id", "cost_event_id", "cost_domain_id", "cost_type_concept_id"],
@@ -504,20 +513,27 @@ def _not_null_report() -> str:
     return _ALL_GOLD + " " + " UNION ALL ".join(parts)
 
 
+_LIMITS = {
+    "person": {"gender_source_value": 50, "race_source_value": 50, "ethnicity_source_value": 50,
+               "person_source_value": 50},
+    "provider": {"provider_name": 255, "npi": 20, "dea": 20, "provider_source_value": 50,
+                 "specialty_source_value": 50, "gender_source_value": 50},
+    "condition_occurrence": {"stop_reason": 20, "condition_source_value": 50,
+                             "condition_status_source_value": 50},
+    "drug_exposure": {"stop_reason": 20, "lot_number": 50, "drug_source_value": 50,
+                      "route_source_value": 50},
+    "procedure_occurrence": {"procedure_source_value": 50, "modifier_source_value": 50},
+    "visit_occurrence": {"visit_source_value": 50, "admitted_from_source_value": 50},
+    "cost": {"cost_domain_id": 20, "revenue_code_source_value": 50, "drg_source_value": 3},
+}
+
+
 def _length_report() -> str:
-    checks = [
-        ("drug_exposure", c, n) for c, n in (
-            ("stop_reason", 20), ("lot_number", 50), ("drug_source_value", 50),
-            ("route_source_value", 50))
-    ] + [
-        ("condition_occurrence", c, n) for c, n in (
-            ("stop_reason", 20), ("condition_source_value", 50),
-            ("condition_status_source_value", 50))
-    ]
     parts = [
         f"""SELECT '{name}' AS "table", '{c}' AS "column",
- count(*) FILTER (length({c}) > {n}) AS too_long_rows FROM {_GOLD_KEYS[name][0]}"""
-        for name, c, n in checks
+ count(*) FILTER (length({c}::VARCHAR) > {n}) AS too_long_rows FROM {_GOLD_KEYS[name][0]}"""
+        for name, limits in _LIMITS.items()
+        for c, n in limits.items()
     ]
     return _ALL_GOLD + " " + " UNION ALL ".join(parts)
 
@@ -587,6 +603,9 @@ def oracles() -> dict[str, str]:
         ) + " SELECT * FROM patient",
         "doc_problems": f"{_with(_PROBLEM)} SELECT * FROM problem",
         "doc_medications": f"{_with(_MEDICATION)} SELECT * FROM medication",
+        "doc_nested_sections": f"{_with(_PROBLEM)} SELECT * FROM problem",
+        "doc_material_children": f"{_with(_PATIENT)} SELECT * FROM patient",
+        "doc_prefixes": f"{_with(_PATIENT)} SELECT * FROM patient",
         "malformed_documents": """SELECT conv_id::VARCHAR AS patient_id,
  concat(conv_id, '-', turn) AS document_id FROM conversations WHERE role = 'system'""",
         "new_documents_only": """SELECT o_orderkey AS document_id, o_orderstatus AS status
@@ -623,6 +642,17 @@ def oracles() -> dict[str, str]:
   AND cost_domain_id = 'visit' WHERE person_id = '8'
  UNION SELECT c.*, drug_exposure_id FROM cost c JOIN drug ON cost_event_id = drug_exposure_id
   AND cost_domain_id = 'drug' WHERE person_id = '8'""",
+        "review_providers_one_person": f"""{_ALL_GOLD} SELECT pr.*, providers FROM (
+  SELECT unnest(string_split(provider_id, ',')) AS providers FROM person WHERE person_id = '8') l
+ JOIN provider pr ON pr.provider_id = l.providers""",
+        **{
+            f"review_{name}_one_person": f"{cte} SELECT * FROM {source} WHERE person_id = '8'"
+            for name, cte, source in (
+                ("person", person_cte, "person"), ("visits", visit_cte, "visit"),
+                ("conditions", condition_cte, "condition"),
+                ("procedures", _with(_PX, _PROCEDURE_TEXT), "procedures"), ("drugs", drug_cte, "drug"),
+            )
+        },
         "url_manifest": f"WITH {_MANIFEST} SELECT url, patient_id, file_name FROM manifest",
         "missing_files": f"""WITH {_MANIFEST} SELECT url, patient_id, file_name FROM manifest m
  WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.lang = m.patient_id
