@@ -36,6 +36,11 @@ PROBLEM_TYPE_CONCEPT = "CCDA_XML_DOCS"
 # body, and more where a document has more.
 SECTION_DEPTH = 4
 
+# Why a document is set aside, and the columns that are kept of it.
+MALFORMED, NOT_CLINICAL = "malformed", "not a clinical document"
+NO_TEXT, NO_ID = "empty", "no document id"
+QUARANTINE = ["patient_id", "document_id", "reason", "malformed"]
+
 _TEXT = T.ArrayType(T.StringType())
 _WILDCARD = "any_other"
 
@@ -507,6 +512,25 @@ def split_malformed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def split_usable(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(clinical documents, quarantine)``, the latter with a ``reason``.
+
+    Text that is no XML is malformed; XML in which none of the fields and no
+    entry was found is no clinical document.
+    """
+    empty = (F.coalesce(F.size("problems"), F.lit(0)) == 0) & (
+        F.coalesce(F.size("medications"), F.lit(0)) == 0
+    )
+    for name in DOCUMENT_FIELDS.fieldNames():
+        empty = empty & F.col(name).isNull()
+    reason = F.when(F.col("malformed").isNotNull(), MALFORMED).when(empty, NOT_CLINICAL)
+    judged = parsed.withColumn("reason", reason)
+    return (
+        judged.filter(F.col("reason").isNull()).drop("malformed", "reason"),
+        judged.filter(F.col("reason").isNotNull()).select(*QUARANTINE),
+    )
+
+
 def only_new(docs: DataFrame, seen: DataFrame, key: str = "document_id") -> DataFrame:
     """Rows of ``docs`` whose key is not in ``seen``.
 

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caremart.operators import cda, claims, omop
 from caremart.schemas import LAYERS
@@ -41,7 +42,7 @@ def _unseen(docs: DataFrame, seen: DataFrame) -> DataFrame:
     which the planner decides whether the ids can be broadcast to the texts.
     """
     ids = staged(cda.only_new(docs.select("document_id").distinct(), seen), "new-documents")
-    # Null-safe: a file without a document part in its name is new every time.
+    # Null-safe: a file without a document part in its name comes every time, to be set aside.
     same = docs["document_id"].eqNullSafe(ids["document_id"])
     return docs.join(ids, same, "left_semi")
 
@@ -49,15 +50,24 @@ def _unseen(docs: DataFrame, seen: DataFrame) -> DataFrame:
 def silver_documents(
     docs: DataFrame, seen: DataFrame | None = None, provider: str = "performer"
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Document tables from new documents, and the malformed ones.
+    """Document tables from new documents, and those that are set aside.
 
-    Parsing is by far the most expensive step and feeds four results, so its
-    output is staged once.
+    Documents without an id or without text are not parsed. Parsing is by far
+    the most expensive step and feeds four results, so its output is staged
+    once.
     """
     new = docs if seen is None else _unseen(docs, seen)
-    parsed, malformed = cda.split_malformed(
-        staged(cda.parse_documents(new, provider), "parsed-documents")
+    blank = F.trim(F.coalesce("xml_string", F.lit(""))) == ""
+    reason = F.when(F.col("document_id").isNull(), cda.NO_ID).when(blank, cda.NO_TEXT)
+    unread = new.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    unread = unread.select(
+        "patient_id", "document_id", "reason",
+        F.when(F.col("document_id").isNull(), F.col("xml_string")).alias("malformed"),
     )
+    parsed, malformed = cda.split_usable(
+        staged(cda.parse_documents(new.filter(reason.isNull()), provider), "parsed-documents")
+    )
+    malformed = malformed.unionByName(unread)
     tables = {
         "ccda_docs_patient": cda.doc_patients(parsed),
         "ccda_docs_problem": cda.doc_problems(parsed),
@@ -98,7 +108,10 @@ def refresh_silver_claims(
 def refresh_silver_documents(
     spark: SparkSession, docs: DataFrame, database: str, provider: str = "performer"
 ) -> DataFrame:
-    """Add documents that are not in silver yet; returns the malformed ones.
+    """Add documents that are not in silver yet; returns those that are set aside.
+
+    The latter are stored in ``quarantine_documents`` and not parsed again;
+    what has no id is told by its text there.
 
     The patient table is written last: it says which documents are done, so a
     run that dies before it is repeated in full, and the entry tables are
@@ -106,7 +119,11 @@ def refresh_silver_documents(
     """
     patient = f"{database}.ccda_docs_patient"
     known = spark.catalog.tableExists(patient)
+    quarantine = f"{database}.quarantine_documents"
     seen = spark.table(patient).select("document_id") if known else None
+    if spark.catalog.tableExists(quarantine):
+        aside = spark.table(quarantine).select("document_id").filter(F.col("document_id").isNotNull())
+        seen = aside if seen is None else seen.union(aside)
     tables, malformed = silver_documents(docs, seen, provider)
     for table in ("ccda_docs_problem", "ccda_docs_medication", "ccda_docs_patient"):
         name = f"{database}.{table}"
@@ -118,6 +135,15 @@ def refresh_silver_documents(
             append_table(rows, name)
         else:
             overwrite_table(rows, name)
+    # Ids keep known documents away from here; texts without id are told apart by a hash.
+    rows = malformed.distinct().withColumn("text_hash", F.sha2(F.coalesce("malformed", F.lit("")), 256))
+    if spark.catalog.tableExists(quarantine):
+        old = spark.table(quarantine).select(
+            F.col("document_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        same = rows["document_id"].eqNullSafe(old["_id"]) & (rows["text_hash"] == old["_hash"])
+        append_table(staged(rows.join(old, same, "left_anti"), "quarantine"), quarantine)
+    else:
+        overwrite_table(rows, quarantine)
     return malformed
 
 

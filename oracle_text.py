@@ -608,6 +608,10 @@ def oracles() -> dict[str, str]:
         "doc_prefixes": f"{_with(_PATIENT)} SELECT * FROM patient",
         "malformed_documents": """SELECT conv_id::VARCHAR AS patient_id,
  concat(conv_id, '-', turn) AS document_id FROM conversations WHERE role = 'system'""",
+        "quarantine_documents": """SELECT conv_id::VARCHAR AS patient_id,
+ concat(conv_id, '-', turn) AS document_id, CASE turn % 5 WHEN 1 THEN 'malformed'
+ WHEN 2 THEN 'not a clinical document' ELSE 'empty' END AS reason
+ FROM conversations WHERE turn % 5 IN (1, 2, 3)""",
         "new_documents_only": """SELECT o_orderkey AS document_id, o_orderstatus AS status
  FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem
  WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')""",

@@ -231,6 +231,32 @@ def test_sections_in_sections(parse):
     assert codes == ["outer", "inner", "last", "inner"]
 
 
+@pytest.mark.parametrize("depth", [1, 4, 5, 7])
+def test_sections_of_any_depth(parse, depth):
+    nested = section(PROBLEM_SECTION, act())
+    for _ in range(depth - 1):
+        nested = section("1.1", extra=f"<component>{nested}</component>")
+    (row,) = parse(document(nested))
+    assert [p.condition_source_value for p in row.problems] == ["I10"]
+
+
+def test_any_child_makes_a_material(parse):
+    meds = [administration(x) for x in ("<vendorNote/>", "text only", "", "<name>n</name>")]
+    (row,) = parse(document(section(MEDICATION_SECTION, *meds)))
+    assert [m.drug_source_value for m in row.medications] == [None, "n"]
+
+
+@pytest.mark.parametrize("prefix", ["h", "h-7", "h.7", "_x"])
+def test_all_prefixes(parse, prefix):
+    whole = document(section(PROBLEM_SECTION, act()))
+    prefixed = (
+        whole.replace("<", f"<{prefix}:").replace(f"<{prefix}:/", f"</{prefix}:")
+        .replace(f"<{prefix}:sdtc:", "<sdtc:").replace('xmlns="', f'xmlns:{prefix}="')
+    )
+    plain, same = parse(whole, prefixed)
+    assert plain.asDict() | {"document_id": "1"} == same.asDict()
+
+
 def test_prefixed_and_malformed(parse):
     whole = document(section(PROBLEM_SECTION, act()))
     prefixed = (

@@ -162,6 +162,20 @@ def test_every_cost_finds_its_event(spark, medical, rx, patient, both_modes):
     assert totals == [(False, 6.0), (False, 6.0), (True, 0)]
 
 
+def test_null_and_blank_slots_cost_once(spark, rx):
+    lines = claims.typed_lines(raw(spark, schemas.MEDICAL_CSV, LINE)).drop("MemberID", "ClaimID", "AdmitSource")
+    pairs = spark.createDataFrame(
+        [(m, c, a) for m in ("", None) for c in ("", None) for a in ("", None)],
+        "MemberID string, ClaimID string, AdmitSource string")
+    claim = lines.crossJoin(pairs).select(*claims.typed_lines(raw(spark, schemas.MEDICAL_CSV, LINE)).columns)
+    cost = omop.omop_cost(claim, rx.limit(0)).collect()
+    assert len(cost) == 1
+    # The visit table shows the columns, so it tells NULL from blank.
+    no_documents = spark.createDataFrame([], schemas.SILVER_PATIENT)
+    visits = omop.omop_visit(claim, no_documents).collect()
+    assert len(visits) == 8 and {v.visit_occurrence_id for v in visits} == {cost[0].cost_event_id}
+
+
 def test_visits(spark, medical, rx, patient):
     rows = gold(spark, medical, rx, patient)["visit_occurrence"].collect()
     kinds = sorted(r.visit_type_concept_id for r in rows)

@@ -202,3 +202,21 @@ def test_document_refresh_adds_and_repeats(spark):
     for table in ("ccda_docs_patient", "ccda_docs_problem"):
         got = sorted(r.document_id for r in spark.table(f"silver_t.{table}").collect())
         assert got == ["d1", "d2"]
+
+
+def test_what_is_set_aside_is_stored_once(spark):
+    from tests.test_cda import PROBLEM_SECTION, act, document, section
+
+    layout = "patient_id string, document_id string, xml_string string"
+    good = document(section(PROBLEM_SECTION, act()))
+    docs = spark.createDataFrame(
+        [("p", "d1", good), ("p", "d2", "<cut"), ("p", "d3", "<foo/>"), ("p", "d4", None),
+         ("p", "d5", " "), ("p", None, good)], layout)
+    spark.sql("CREATE DATABASE silver_q")
+    for _ in range(3):
+        lakehouse.refresh_silver_documents(spark, docs, "silver_q")
+    aside = spark.table("silver_q.quarantine_documents").collect()
+    assert sorted((r.document_id or "", r.reason) for r in aside) == [
+        ("", "no document id"), ("d2", "malformed"), ("d3", "not a clinical document"),
+        ("d4", "empty"), ("d5", "empty")]
+    assert [r.document_id for r in spark.table("silver_q.ccda_docs_patient").collect()] == ["d1"]
