@@ -24,11 +24,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+
+from caremart.llm.arrow_groups import small
 from pyspark.sql import functions as F
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces of text whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 400_000, 40
+REMEMBERED, LONGEST = 100_000, 40
 #: Characters of which the standard library's classes and the pattern's are the same, and the pattern in its terms.
 _UNLIKE = re.compile(r"[^\t\n\r\x20-\x7e\xa0\xc0-\xd6\xd8-\xf6\xf8-\u024f]")
 _LIKE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -142,7 +144,7 @@ def encode(docs: DataFrame, text: str = "text", offsets: bool = False, path: str
                 new.append(pa.array([[{"start": a, "end": b} for a, b in tool.spans(t)] for t in texts], pair))
             return pa.RecordBatch.from_arrays([*rows.columns, *new], names=[*rest, "ids", *["spans"] * offsets])
 
-        for batch in batches:
+        for batch in small(batches):
             start, done, size = 0, [], 0
             texts = [t or "" for t in batch.column(place).to_pylist()]
             for k, text in enumerate(texts):
@@ -170,15 +172,13 @@ def decode(coded: DataFrame, ids: str = "ids", path: str | None = None) -> DataF
     place = rest.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                raw = [codec(path).decode(np.array(x or [], dtype=np.int64)) for x in part.column(place).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(raw, pa.binary()),
-                     pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())],
-                    names=[*rest, "decoded", "decoded_text"],
-                )
+        for batch in small(batches):
+            raw = [codec(path).decode(np.array(x or [], dtype=np.int64)) for x in batch.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(raw, pa.binary()),
+                 pa.array([x.decode("utf-8", "replace") for x in raw], pa.string())],
+                names=[*rest, "decoded", "decoded_text"],
+            )
 
     schema = T.StructType([coded.schema[c] for c in rest]).add("decoded", "binary").add("decoded_text", "string")
     return coded.select(*rest).mapInArrow(run, schema)
@@ -197,7 +197,7 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path)
-        for batch in batches:
+        for batch in small(batches):
             count, coded, back = [], [], []
             for text in batch.column(1).to_pylist():
                 ids = tool.encode(text or "")

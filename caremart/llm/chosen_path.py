@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caremart.llm.arrow_groups import small
 from caremart.llm.components import connected_components
 from caremart.llm.shingles import mix, shingle_sets
 from caremart.sources.tables import staged
@@ -58,7 +59,7 @@ def _sketch(trees: int, size: int):
     a, b = _factors(trees + SIGNATURE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             start = 0
             for sets in shingle_sets([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], size):
                 count = np.array([len(s) for s in sets])
@@ -109,7 +110,7 @@ def _within(least: float):
     """Pairs inside small nodes, each a row of lists, that agree in enough tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             left, right = [], []
             for reps, sigs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows = np.frombuffer(b"".join(sigs), np.uint8).reshape(-1, SIGNATURE)
@@ -128,7 +129,7 @@ def _within(least: float):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             start = 0
             for sets in shingle_sets([t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()], size):
                 yield pa.RecordBatch.from_arrays(
@@ -142,7 +143,7 @@ def _sets(size: int):
 
 def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             good = np.zeros(batch.num_rows, bool)
             for k, (x, y) in enumerate(zip(batch.column("xa"), batch.column("xb"), strict=True)):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)

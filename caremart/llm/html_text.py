@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caremart.llm.arrow_groups import small
 from caremart.sources.tables import staged
 
 #: Branches of a lower importance are removed, on hosts that have them on so many pages at least.
@@ -209,7 +210,7 @@ def host_of(url: Column) -> Column:
 
 
 def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         rows = [
             (host, *branch)
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
@@ -252,7 +253,7 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 def _extracted(place: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             lows = [frozenset(x or ()) for x in batch.column(batch.num_columns - 1).to_pylist()]
             texts = [Page(h, low).text() if h else "" for h, low in zip(batch.column(place).to_pylist(), lows, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*names, "text"])

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caremart.llm.arrow_groups import small
 from caremart.sources.tables import staged
 
 #: Documents per language that the counts are made of, about (chosen by a hash of the id).
@@ -130,7 +131,7 @@ class Model:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts ``(lang, n, gram, count)`` of each batch; n is 0 for words."""
-    for batch in batches:
+    for batch in small(batches):
         counts: Counter = Counter()
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = Counter(_WORD.findall(text.lower()))
@@ -213,7 +214,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     place = rest.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts, start = batch.column(place).to_pylist(), 0
             names, scores = [], []
             while start < len(texts):

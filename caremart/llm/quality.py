@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caremart.llm.arrow_groups import small
 from caremart.sources.tables import staged
 
 #: Labelled documents that the models are fitted to, about (chosen by a hash of the id).
@@ -96,7 +97,7 @@ class Model:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         rows = []
         for text in batch.column(0).to_pylist():
             words = _WORD.findall(text.lower()) if text else []
@@ -178,7 +179,7 @@ def evidence(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
-        for batch in batches:
+        for batch in small(batches):
             odds = shared.value.scores(batch.column(place).to_pylist(), known)
             chance = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
             yield pa.RecordBatch.from_arrays(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caremart.llm.anchors import Prefixes, chunks, runs
-from caremart.llm.arrow_groups import sorted_groups
+from caremart.llm.arrow_groups import small, sorted_groups
 from caremart.llm.bwt import repeated
 from caremart.sources.tables import staged
 
@@ -37,7 +37,7 @@ NO_ID = -(1 << 63)
 
 def _run_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             doc, hashed = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             texts = batch.column(2).cast(pa.binary()).to_pylist()
             for source, offset, data, start, end in chunks(texts, length):
@@ -57,7 +57,7 @@ def _bytes_of_runs(length: int):
     """The bytes of each document's listed runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             for d, x, listed, text in zip(*[c.to_pylist() for c in batch.columns[:3]],
                                           batch.column(3).cast(pa.binary()).to_pylist(), strict=True):
                 parts = [text[r["first"] : r["first"] + r["count"] - 1 + length] for r in listed]
@@ -117,7 +117,7 @@ def _hashed_strings(length: int):
     """A row per string of the runs, for anchors that no task can take."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             for d, x, first, text in zip(*[batch.column(c).to_pylist() for c in ("d", "x", "first", "bytes")], strict=True):
                 data = np.frombuffer(text, np.uint8)
                 place = np.arange(len(data) - length + 1)
@@ -182,7 +182,7 @@ def repeated_spans(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         lists, out = batch.column("spans"), []
         for k, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
             spans = lists[k].values
