@@ -401,8 +401,7 @@ def stream_bronze_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     layout = schemas.LAYERS["bronze"]["medical_claims"]
     landed = ingest.read_landed(spark, f"{work}/bronze", layout)
-    filled = [c for c in posing.MEDICAL_FILLED if c in landed.columns]
-    return landed.select(*filled, delimited.RESCUED)
+    return landed.select(*schemas.MEDICAL_CSV.fieldNames(), delimited.RESCUED)
 
 
 def stream_bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

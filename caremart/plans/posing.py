@@ -16,13 +16,6 @@ from caremart.schemas import MEDICAL_CSV, PHARMACY_CSV
 
 
 # Columns of the medical feed that the posed claims fill.
-MEDICAL_FILLED = """
-SequenceNumber ClaimID LineNum ContractID MemberID FromDate ToDate AdmitDate DischDate PaidDate
-RevCode HCPCS Modifier Modifier2 srcPOS POS srcSpecialty ProviderID BillType AdmitSource AdmitType
-Billed Allowed Paid COB Copay Coinsurance Deductible PatientPay Days Units ICDVersion
-DischargeStatus AdmitDiag ICDDiag1 ICDDiag3 ICDDiag30 ICDProc1 ICDProc2 ICDProc10 UserDefNum3
-YearMo MR_Units_Days LOB Year
-""".split()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -559,7 +559,10 @@ _ORDER_TEXT = """SELECT o_orderkey::VARCHAR AS order_id, o_custkey::VARCHAR AS c
  FROM orders"""
 
 # A CSV file does not tell an empty text from a missing one.
-_RAW_SELECT = ", ".join(f"nullif({n}, '') AS {n}" for n in _MEDICAL)
+_RAW_SELECT = ", ".join(
+    f"nullif({n}, '') AS {n}" if n in _MEDICAL else f'CAST(NULL AS VARCHAR) AS "{n}"'
+    for n in S.MEDICAL_CSV.fieldNames()
+)
 
 
 def oracles() -> dict[str, str]:

@@ -8,7 +8,7 @@ from check_queries import compare
 SCALE = "/root/testdata/sf0.001"
 FAST = [
     "hash_ids", "doc_dates", "claim_dates", "claim_procedures_long", "rx_claims_typed",
-    "doc_patients", "doc_medications", "new_documents_only", "omop_person", "omop_cost",
+    "doc_patients", "doc_medications", "doc_nested_sections", "new_documents_only", "omop_person", "omop_cost",
     "url_manifest", "csv_rescued_ingest", "snapshot_diff", "apply_changes", "pk_violations",
 ]
 
