@@ -15,9 +15,6 @@ from caremart.operators.cda import MEDICATION_SECTION, PROBLEM_SECTION, RXNORM
 from caremart.schemas import MEDICAL_CSV, PHARMACY_CSV
 
 
-# Columns of the medical feed that the posed claims fill.
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
