@@ -30,8 +30,9 @@ SAMPLE_PER_LANGUAGE = 2000
 #: Words, and n-grams of each length, that the model keeps: the most frequent ones.
 MODEL_WORDS = 50_000
 MODEL_GRAMS = 30_000
-#: More labels than this are not languages; the rarest of them are not learned.
-MAX_LANGUAGES = 500
+#: More labels than this are not languages; the rarest of them are not learned. With all
+#: entries and so many languages the model, which every task gets, has 136 MB.
+MAX_LANGUAGES = 200
 LONGEST = 4
 UNKNOWN = "und"
 #: Characters that are scored together, about: bounds the memory of a task.
@@ -113,7 +114,9 @@ class Model:
             return best, score
         words = list(chain.from_iterable(found))
         ids = np.fromiter(map(self.words.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        each = self.word_scores[ids] if len(self.word_scores) else np.zeros((len(words), len(self.languages)))
+        each = np.zeros((len(words), len(self.languages)))
+        if len(self.word_scores):
+            each[:] = self.word_scores[ids]
         known = ids >= 0
         new = np.flatnonzero(~known)
         if len(new):
@@ -187,7 +190,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
             for x in row["by"]:
                 count[i, number[x["lang"]]] = x["count"]
         smooth = 0.5
-        return [r["gram"] for r in top], np.log(count + smooth) - np.log(count.sum(axis=0) + smooth * (len(top) + 1))
+        scores = np.log(count + smooth) - np.log(count.sum(axis=0) + smooth * (len(top) + 1))
+        return [r["gram"] for r in top], scores.astype(np.float32)
 
     known, word_scores = entries(0, words)
     lists = []
