@@ -41,8 +41,8 @@ def terms(text: Column) -> Column:
 def fingerprints(rows: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """``(*key, f1, f2)``: the 128 bits of each key's text as two longs.
 
-    Only primitive columns belong into ``key``, which should name one text;
-    rows of one key vote together, so rows that repeat change nothing. Null
+    Only primitive columns belong into ``key``, which has to name one row:
+    rows of one key would vote together, into lanes made for one text. Null
     and blank texts have the fingerprint of an empty word.
     """
     words = rows.select(*key, terms(rows[text]).alias("_words"))
@@ -158,7 +158,12 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         body.alias("text"),
     )
     slim = base.groupBy("d", "x").agg(F.count(F.lit(1)).alias("copies"), F.max(F.length("text")).alias("n_chars"))
-    chain = _successors(staged(slim, "documents"))
+    slim = staged(slim, "documents")
+    chain = _successors(slim)
+    # Of rows that repeat, one votes. The texts of all others are not shuffled for that.
+    repeat = staged(slim.where("copies > 1").select("d", "x"), "repeated")
+    one = base.join(repeat, ["d", "x"], "left_semi").groupBy("d", "x").agg(F.first("text").alias("text"))
+    base = base.join(repeat, ["d", "x"], "left_anti").union(one)
     needs = chain.select(
         F.col("nd").alias("d"), F.col("nx").alias("x"), F.col("d").alias("for_d"), F.col("x").alias("for_x"),
         F.expr("cast(n_chars div 3 as int)").alias("part"),
@@ -166,7 +171,6 @@ def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     heads = base.join(needs, ["d", "x"]).select(
         F.col("for_d").alias("d"), F.col("for_x").alias("x"), F.expr("left(text, part)").alias("head")
     )
-    heads = heads.groupBy("d", "x").agg(F.first("head").alias("head"))
     both = base.join(heads, ["d", "x"])
     edited = F.expr("concat(left(text, cast(length(text) - length(text) div 3 as int)), head)")
     both = both.select("d", "x", F.array("text", edited).alias("texts"))
