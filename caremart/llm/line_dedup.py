@@ -29,15 +29,25 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate_lines(docs: DataFrame, text: str = "text", host: str = "source",
-                      max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                      max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """``(host, lines)``: the hashes of each host's boilerplate lines.
 
-    Every row is a page. Blank lines are never boilerplate. Null is a host of
+    Every row is a page; without ``copies``, rows of a host with the same
+    lines are one page (blank lines and white space around lines aside), so a
+    text is no boilerplate for being there several times. Blank lines are never boilerplate. Null is a host of
     its own; a null text is a page without lines.
     """
     pages = docs.select(docs[host].alias("host"), docs[text].alias("text"))
-    keys = F.array_distinct(F.transform(F.split("text", "\n"), _key))
-    lines = pages.select("host", F.explode(keys).alias("line")).where("line is not null")
+    keys = F.transform(F.split("text", "\n"), _key)
+    if copies:
+        pages = pages.select("host", F.array_distinct(keys).alias("keys"))
+    else:
+        pages = pages.select("host", F.filter(keys, lambda x: x.isNotNull()).alias("keys"))
+        pages = pages.groupBy("host", F.xxhash64("keys").alias("h1"), F.xxhash64(F.lit(1), "keys").alias("h2")).agg(
+            F.array_distinct(F.first("keys")).alias("keys")
+        )
+        pages = staged(pages.select("host", "keys"), "distinct-pages")
+    lines = pages.select("host", F.explode("keys").alias("line")).where("line is not null")
     totals = staged(
         pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "host-pages"
     ).withColumnRenamed("host", "of")
@@ -48,13 +58,13 @@ def boilerplate_lines(docs: DataFrame, text: str = "text", host: str = "source",
 
 
 def with_kept_lines(docs: DataFrame, text: str = "text", host: str = "source",
-                    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """``docs`` with ``_lines``, its lines, and ``_kept``, those that stay, as arrays.
 
     Both are null where the text is null; an empty text has one empty line.
     Other lines stay in order, repeated or not.
     """
-    found = boilerplate_lines(docs, text, host, max_ratio, min_pages)
+    found = boilerplate_lines(docs, text, host, max_ratio, min_pages, copies)
     found = found.select(F.col("host").alias("_host"), F.col("lines").alias("_drop"))
     joined = docs.join(found, docs[host].eqNullSafe(F.col("_host")), "left")
     lines = F.split(docs[text], "\n")
@@ -65,12 +75,12 @@ def with_kept_lines(docs: DataFrame, text: str = "text", host: str = "source",
 
 
 def drop_boilerplate(docs: DataFrame, text: str = "text", host: str = "source",
-                     max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                     max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text; all rows stay.
 
     ``n_chars``, where there is such a column, is counted anew.
     """
-    kept = with_kept_lines(docs, text, host, max_ratio, min_pages)
+    kept = with_kept_lines(docs, text, host, max_ratio, min_pages, copies)
     clean = F.array_join("_kept", "\n")
     new = {text: clean}
     if "n_chars" in docs.columns:

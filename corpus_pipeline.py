@@ -20,8 +20,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that their source has on too many of them."""
-    return line_dedup.drop_boilerplate(docs)
+    """Documents without the lines that their source has on too many of its distinct texts."""
+    return line_dedup.drop_boilerplate(docs, copies=False)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
