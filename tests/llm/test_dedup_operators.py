@@ -110,6 +110,32 @@ def test_large_nodes_branch_on(spark, monkeypatch):
     assert sum(got[i] != root[i] for i in root) <= 0.02 * len(root)
 
 
+def test_pairs_in_a_family_below_the_threshold(spark):
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(420)]
+    tails = [[f"x{rng.getrandbits(40)}" for _ in range(40)] for _ in range(3000)]
+    planted = [(2 * k, 2 * k + 1) for k in range(200)]
+    for a, b in planted:
+        tails[b][:9] = tails[a][:9]
+    rows = [(k, " ".join(base + t), "en", "a", 0) for k, t in enumerate(tails)]
+    sets = {r[0]: word_set(r[1]) for r in rows}
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert {round(alike(a, b), 2) for a, b in planted} == {0.87} and round(alike(0, 2), 2) == 0.84
+    got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_documents(documents(spark, rows)).collect()}
+    assert got == components(sets, planted)
+
+
+def test_common_shingles(monkeypatch):
+    monkeypatch.setattr(chosen_path, "COLUMNS", 7)
+    monkeypatch.setattr(chosen_path, "INCREMENTS", 50)
+    rng = np.random.default_rng(5)
+    for most in (40, 3000):
+        xs = [np.unique(rng.integers(0, most, rng.integers(0, 40))).astype(np.uint64) for _ in range(60)]
+        ys = xs[:20] + [np.zeros(0, np.uint64)]
+        want = [[len(np.intersect1d(x, y)) for y in ys] for x in xs]
+        assert chosen_path.common_shingles(xs, ys).tolist() == want
+
+
 def test_shingle_sets_do_not_depend_on_chunks(monkeypatch):
     texts = [(r[1] or "").encode() for r in awkward_rows()]
     whole = [s for chunk in shingle_sets(texts) for s in chunk]
