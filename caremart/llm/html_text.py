@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from caremart.llm.arrow_groups import small
 from caremart.sources.tables import staged
 
-#: Branches of a lower importance are removed, on hosts that have them on so many pages at least.
+#: Branches of a lower importance are removed, on hosts that have them on so many distinct pages at least.
 IMPORTANCE, MIN_PAGES = 0.3, 10
 
 # Elements of HTML and names that pages give to what is no content.
@@ -210,28 +211,41 @@ def host_of(url: Column) -> Column:
 
 
 def _branches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The branches of each page, and two hashes of its tags and text that are the same for copies."""
     for batch in small(batches):
-        rows = [
-            (host, *branch)
-            for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for branch in Page(html, branches=True).branches
+        pages = [Page(html, branches=True) for html in batch.column(1).to_pylist()]
+        names = [
+            " ".join(page.tags) + "\n" + " ".join("".join(p for p, _ in page.pieces).split()) for page in pages
         ]
-        host, node, shape, words = zip(*rows, strict=True) if rows else ((), (), (), ())
+        flat = [branch for page in pages for branch in page.branches]
+        node, shape, words = zip(*flat, strict=True) if flat else ((), (), ())
+        ends = pa.array(np.cumsum([0, *(len(page.branches) for page in pages)]), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(host, pa.string()), *[pa.array(x, pa.int64()) for x in (node, shape, words)]],
-            names=["host", "node", "shape", "words"],
+            [batch.column(0), pa.array([_hash(n) for n in names], pa.int64()),
+             pa.array([_hash("copy " + n) for n in names], pa.int64()),
+             *[pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (node, shape, words)]],
+            names=["host", "h1", "h2", "node", "shape", "words"],
         )
 
 
 def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(host, node, n, importance)`` of the merged tree of each host's pages.
+    """``(host, node, n, pages, importance)`` of the merged tree of each host's distinct pages.
 
-    The importance is the larger one of the entropies of presentation and
+    Pages of a host with the same tags and text count once, under whatever
+    URLs: copies of a page are no template. ``pages`` have the node. The
+    importance is the larger one of the entropies of presentation and
     content over the branch's ``n`` occurrences, each as a share of the most
     that so many could have.
     """
     rows = pages.select(host_of(pages[url]).alias("host"), pages[html].alias("html")).where("html is not null")
-    seen = rows.mapInArrow(_branches, "host string, node long, shape long, words long")
+    seen = rows.mapInArrow(
+        _branches, "host string, h1 long, h2 long, node array<long>, shape array<long>, words array<long>"
+    )
+    each = [F.first(c).alias(c) for c in ("node", "shape", "words")]
+    distinct = staged(seen.groupBy("host", "h1", "h2").agg(*each).drop("h1", "h2"), "distinct-pages")
+    having = distinct.select("host", F.explode(F.array_distinct("node")).alias("node"))
+    having = having.groupBy("host", "node").agg(F.count(F.lit(1)).alias("pages"))
+    seen = distinct.select("host", F.explode(F.arrays_zip("node", "shape", "words")).alias("b")).select("host", "b.*")
     variants = staged(
         seen.groupBy("host", "node", "shape", "words").agg(F.count(F.lit(1)).alias("c")), "branch-variants"
     )
@@ -246,9 +260,12 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
     both = entropy("shape").withColumn("words", F.lit(0.0)).union(entropy("words").select(
         "host", "node", "n", F.lit(0.0).alias("shape"), "words"))
-    return both.groupBy("host", "node").agg(
+    both = both.groupBy("host", "node").agg(
         F.max("n").alias("n"), F.max(F.greatest("shape", "words")).alias("importance")
-    )
+    ).withColumnsRenamed({"host": "_of", "node": "_node"})
+    # Null is a host of its own.
+    met = having.join(both, having["host"].eqNullSafe(both["_of"]) & (having["node"] == both["_node"]))
+    return met.select("host", "node", "n", "pages", "importance")
 
 
 def _extracted(place: int, names: list[str]):
@@ -270,7 +287,7 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", importance
     order. A page is read to its end however long it is and whatever markup
     is left open. Pages without a host form a site of their own.
     """
-    low = style_tree(pages, url, html).where((F.col("n") >= min_pages) & (F.col("importance") < importance))
+    low = style_tree(pages, url, html).where((F.col("pages") >= min_pages) & (F.col("importance") < importance))
     low = staged(low.groupBy("host").agg(F.collect_list("node").alias("_low")), "low-nodes")
     low = low.withColumnRenamed("host", "_host")
     rest = [c for c in pages.columns if c != "text"]
