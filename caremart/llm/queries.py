@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from caremart.llm import bpe, chosen_path, embedding_dedup, html_text, language, line_dedup, mixing, quality, simhash, substring_dedup
+from caremart.llm import (
+    alignment,
+    bpe,
+    chosen_path,
+    embedding_dedup,
+    html_text,
+    language,
+    lexical_search,
+    line_dedup,
+    mixing,
+    quality,
+    simhash,
+    substring_dedup,
+    target_ratio,
+)
 
 
 def queries() -> dict:
@@ -18,6 +32,9 @@ def queries() -> dict:
         "op8_byte_bpe": bpe.op8_byte_bpe,
         "op9_minhash_near_dedup": chosen_path.op9_minhash_near_dedup,
         "op10_line_dedup": line_dedup.op10_line_dedup,
+        "op11_token_alignment": alignment.op11_token_alignment,
+        "op12_lexical_search": lexical_search.op12_lexical_search,
+        "op13_quality_rules": target_ratio.op13_quality_rules,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -28,4 +45,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_embedding_near_dedup": embedding_dedup.OP1_SQL,
         "op4_mix_sources": mixing.OP4_SQL,
         "op10_line_dedup": line_dedup.OP10_SQL,
+        "op12_lexical_search": lexical_search.OP12_SQL,
     }
