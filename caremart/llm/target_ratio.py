@@ -23,11 +23,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caremart.llm.arrow_groups import small
+from caremart.sources.tables import staged
 
 #: Bytes in a run, and buckets that runs are hashed to (at most 1 MB of ratios, and 6 MB of counts a task).
 RUN, BUCKETS = 4, 1 << 18
 #: Runs that a bucket has beforehand in both multinomials.
 PRIOR = 0.1
+#: Trusted documents that the target is counted over, about (chosen by a hash of the id); the corpus is counted whole.
+TRUSTED = 50_000
 #: Documents whose runs are, on average, e times rarer in the target than in the corpus are not kept.
 LEAST = -1.0
 #: Rules: a document fails with fewer words, or with a larger share (percent) of words in repeated windows.
@@ -96,18 +99,24 @@ def ratios(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return (in_target - np.log((raw + PRIOR) / (raw.sum() + PRIOR * len(raw)))).astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> np.ndarray:
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality",
+        trusted: int = TRUSTED) -> np.ndarray:
     """The ratio of each bucket: documents labelled good against all of ``docs``.
 
-    All labelled documents count. A document is good if all labels of its id
-    that are not null say 1. Rows that repeat count as often as they are
-    there, null texts have no runs. Without a good document every ratio is 0.
+    A document is good if all labels of its id that are not null say 1. About
+    ``trusted`` of them are the target, the same ones in each run: their ids
+    are few enough to be sent to all tasks, so no text is shuffled to meet its
+    label. Rows that repeat count as often as they are there, null texts have
+    no runs. Without a good document every ratio is 0.
     """
     rows = docs.select(docs[doc_id].alias("id"), docs[text].alias("text")).where("text is not null")
     said = labels.select(labels[doc_id].alias("good"), labels[quality].alias("said")).where("good is not null")
     good = said.groupBy("good").agg(F.min("said").alias("said")).where("said = 1").select("good")
-    trusted = rows.join(good, rows["id"] == good["good"], "left_semi")
-    return ratios(counts(trusted.select("text")), counts(rows.select("text")))
+    good = staged(good, "good-documents")
+    share = min(1.0, trusted / max(good.count(), 1))
+    chance = F.pmod(F.xxhash64("good", F.lit(13)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    target = rows.join(F.broadcast(good.where(chance < share)), F.col("id") == F.col("good"), "left_semi")
+    return ratios(counts(target.select("text")), counts(rows.select("text")))
 
 
 def repeated_words(words: list[str]) -> int:
