@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ TOP = 50
 BLOCK, BITS = 128, 30
 #: Terms of the items of a round, about; what the tasks get of them is some 100 bytes each.
 TERMS = 200_000
+#: Postings that a task works on at a time, about.
+POSTINGS = 1_000_000
 
 _TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
@@ -136,54 +139,182 @@ def _postings(vec: DataFrame, *more: str) -> DataFrame:
     return vec.select("row", *more, F.explode("vec").alias("x")).select("row", *more, "x.t", "x.c")
 
 
-def floors(vec: DataFrame, wanted: DataFrame, top: int = TOP) -> DataFrame:
-    """``(q, floor)``: a score that at least ``top`` documents reach; items with fewer good documents have no row."""
-    champions = best(_postings(vec), "t", [F.desc("c"), F.col("row")], top).select("t", "row")
-    pairs = staged(champions.join(wanted, "t").select("q", "row").distinct(), "champions")
-    scored = staged(scores(vec, pairs, wanted), "champion-scores")
-    return best(scored, "q", [F.desc("score"), F.col("row")], top).where(F.col("rank") == top).select("q", F.col("score").alias("floor"))
+@dataclass
+class Items:
+    """The items of a round, sent to the tasks: their ids, their terms and where each one's begin."""
+
+    q: np.ndarray
+    t: np.ndarray
+    start: np.ndarray
+
+    @classmethod
+    def of(cls, q: np.ndarray, t: np.ndarray) -> Items:
+        order = np.lexsort((t, q))
+        ids, start = np.unique(q[order], return_index=True)
+        return cls(ids, t[order], np.append(start, len(t)))
+
+
+class Postings:
+    """The posting lists of the documents of a batch, with the stretch of each term of each item."""
 
+    def __init__(self, vec: pa.ListArray, items: Items):
+        size = np.diff(vec.offsets.to_numpy())
+        pairs = vec.flatten()
+        t = pairs.field("t").to_numpy()
+        order = np.argsort(t, kind="stable")
+        self.owner = np.repeat(np.arange(len(size)), size)[order]
+        self.c = pairs.field("c").to_numpy()[order]
+        self.first = np.searchsorted(t[order], items.t)
+        self.last = np.searchsorted(t[order], items.t, side="right")
 
-def scores(vec: DataFrame, pairs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(q, row, doc_id, score)`` of the pairs ``(q, row)``, which are distinct."""
+    def of(self, k: int) -> slice:
+        """The postings of the list of one item's term."""
+        return slice(self.first[k], self.last[k])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``POSTINGS`` postings."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = batch.column(column).offsets.to_numpy()
+        cut = np.unique((ends[1:] - ends[0]) // POSTINGS, return_index=True)[1].tolist()
+        for a, b in zip(cut, [*cut[1:], batch.num_rows], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
+def scores(vec: DataFrame, pairs: DataFrame, items: Items, floor: np.ndarray) -> DataFrame:
+    """``(q, row, doc_id, score)`` of the pairs ``(q, row)`` that reach the item's floor, and 1."""
     asked = pairs.groupBy("row").agg(F.collect_set("q").alias("qs"))
-    found = _postings(vec.join(asked, "row"), "doc_id", "qs").join(wanted, "t").where(F.array_contains("qs", F.col("q")))
-    return found.groupBy("q", "row").agg(F.first("doc_id").alias("doc_id"), F.sum("c").alias("score"))
+    shared = vec.sparkSession.sparkContext.broadcast((items, np.maximum(floor, 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, least = shared.value
+        for batch in _pieces(batches, "vec"):
+            lists = Postings(batch.column("vec"), items)
+            wanted = batch.column("qs")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
+            item = np.searchsorted(items.q, wanted.flatten().to_numpy())
+            order = np.argsort(item, kind="stable")
+            row, item = row[order], item[order]
+            some, first = np.unique(item, return_index=True)
+            found_row, found_score, found_item = [], [], []
+            for k, a, b in zip(some.tolist(), first.tolist(), [*first[1:].tolist(), len(item)], strict=True):
+                total = np.zeros(batch.num_rows, np.int64)
+                for j in range(items.start[k], items.start[k + 1]):
+                    part = lists.of(j)
+                    total[lists.owner[part]] += lists.c[part]
+                mine = row[a:b][total[row[a:b]] >= least[k]]
+                found_row.append(mine)
+                found_score.append(total[mine])
+                found_item.append(np.full(len(mine), items.q[k]))
+            none = np.zeros(0, np.int64)
+            place = pa.array(np.concatenate([*found_row, none]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([*found_item, none])), batch.column("row").take(place), batch.column("doc_id").take(place),
+                 pa.array(np.concatenate([*found_score, none]))],
+                names=["q", "row", "doc_id", "score"],
+            )
 
+    joined = vec.join(asked, "row").select("row", "doc_id", "vec", "qs")
+    return joined.mapInArrow(run, "q long, row long, doc_id long, score long")
 
-def essential(wanted: DataFrame, lists: DataFrame, floor: DataFrame) -> DataFrame:
-    """``(q, t)``: the lists of an item that a document over the floor must be in one of.
 
-    Terms that add least are left out as long as all of them together stay
-    below the floor. ``lists`` has the largest value of each term.
+def floors(vec: DataFrame, wanted: DataFrame, items: Items, top: int = TOP) -> np.ndarray:
+    """Per item a score that at least ``top`` documents reach; 0 where fewer good documents are found.
+
+    Good are the first documents of each of its lists: a bounded number of rows.
     """
-    room = wanted.join(lists, "t").join(floor, "q", "left").select("q", "t", "most", F.coalesce("floor", F.lit(0)).alias("floor"))
-    rising = Window.partitionBy("q").orderBy("most", "t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return room.withColumn("reach", F.sum("most").over(rising)).where(F.col("reach") >= F.col("floor")).select("q", "t")
+    champions = best(_postings(vec), "t", [F.desc("c"), F.col("row")], top).select("t", "row")
+    pairs = staged(champions.join(wanted, "t").select("q", "row").distinct(), "champions")
+    scored = scores(vec, pairs, items, np.zeros(len(items.q), np.int64))
+    last = best(scored, "q", [F.desc("score"), F.col("row")], top).where(F.col("rank") == top).select("q", "score").toArrow()
+    floor = np.zeros(len(items.q), np.int64)
+    floor[np.searchsorted(items.q, last.column("q").to_numpy())] = last.column("score").to_numpy()
+    return floor
 
 
-def _cell(code: str, bits: str) -> Column:
-    """The cell that a code lies in, of those with so many leading bits."""
-    return F.expr(f"shiftright({code}, {BITS} - {bits})")
+def essential(items: Items, most: np.ndarray, floor: np.ndarray) -> np.ndarray:
+    """Which of the items' lists a document over the floor must be in one of.
+
+    Terms that add least are left out as long as all of them together stay
+    below the floor. ``most`` is the largest value of each term.
+    """
+    out = np.zeros(len(items.t), bool)
+    for k in range(len(items.q)):
+        mine = np.arange(items.start[k], items.start[k + 1])
+        mine = mine[np.argsort(most[items.t[mine]], kind="stable")]
+        out[mine] = np.cumsum(most[items.t[mine]]) >= max(floor[k], 1)
+    return out
 
 
-def summaries(vec: DataFrame, lists: DataFrame, together: DataFrame) -> DataFrame:
+def summaries(vec: DataFrame, items: Items, own: np.ndarray, bits: np.ndarray) -> DataFrame:
     """``(t, cell, u, most)``: of each block of the list of ``t`` the largest value of coordinate ``u``.
 
-    ``together`` are the pairs ``(t, u)`` that an item asks for.
+    Blocks of the lists that ``own`` marks, and the coordinates that an item
+    asks for beside their term. ``bits`` are the leading bits of the cells of
+    each term. A task sums up blocks of its own documents, which lie in the
+    order of their codes, before any is shuffled.
+    """
+    shared = vec.sparkSession.sparkContext.broadcast((items, own, bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, own, bits = shared.value
+        for batch in _pieces(batches, "vec"):
+            lists = Postings(batch.column("vec"), items)
+            code = batch.column("code").to_numpy()
+            t, cell, u, most = [], [], [], []
+            for k in range(len(items.q)):
+                span = range(items.start[k], items.start[k + 1])
+                mine = [j for j in span if own[j] and lists.last[j] > lists.first[j]]
+                if not mine:
+                    continue
+                values = np.zeros((batch.num_rows, len(span)), np.int64)
+                for place, j in enumerate(span):
+                    values[lists.owner[lists.of(j)], place] = lists.c[lists.of(j)]
+                for j in mine:
+                    rows = lists.owner[lists.of(j)]
+                    cells = code[rows] >> (BITS - bits[items.t[j]])
+                    start = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))
+                    summary = np.maximum.reduceat(values[rows], start, axis=0)
+                    block, place = np.nonzero(summary)
+                    t.append(np.full(len(block), items.t[j], np.int32))
+                    cell.append(cells[start][block])
+                    u.append(items.t[span.start + place])
+                    most.append(summary[block, place])
+                if sum(map(len, t)) > POSTINGS:
+                    yield out(t, cell, u, most)
+                    t, cell, u, most = [], [], [], []
+            yield out(t, cell, u, most)
+
+    def out(*columns: list[np.ndarray]) -> pa.RecordBatch:
+        kinds = (np.int32, np.int64, np.int32, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([*x, np.zeros(0, k)]).astype(k)) for x, k in zip(columns, kinds, strict=True)],
+            names=["t", "cell", "u", "most"],
+        )
+
+    found = vec.mapInArrow(run, "t int, cell long, u int, most long")
+    return found.groupBy("t", "cell", "u").agg(F.max("most").alias("most"))
+
+
+def open_blocks(summary: DataFrame, asked: DataFrame) -> DataFrame:
+    """``(q, t, cell, bound, open)``: the blocks of the lists that each item has to look at.
+
+    ``asked`` is ``(q, t, u, floor)``. Blocks that are not open hold no document that reaches the floor.
     """
-    own = vec.select("code", "vec", F.explode("vec").alias("x")).select("code", "vec", F.col("x.t").alias("t"))
-    own = own.join(lists.select("t", "bits"), "t").select("t", _cell("code", "bits").alias("cell"), "vec")
-    coordinates = own.select("t", "cell", F.explode("vec").alias("x")).select("t", "cell", F.col("x.t").alias("u"), "x.c")
-    return coordinates.join(together, ["t", "u"]).groupBy("t", "cell", "u").agg(F.max("c").alias("most"))
+    bounds = summary.join(asked, ["t", "u"]).groupBy("q", "t", "cell").agg(F.sum("most").alias("bound"), F.max("floor").alias("floor"))
+    return bounds.select("q", "t", "cell", "bound", (F.col("bound") >= F.col("floor")).alias("open"))
 
 
-def open_blocks(summary: DataFrame, wanted: DataFrame, lists_of: DataFrame, floor: DataFrame) -> DataFrame:
-    """``(q, t, cell, bound, open)``: blocks of the lists of each item; those that are not open cannot hold a placed document."""
-    asked = lists_of.join(wanted.withColumnRenamed("t", "u"), "q")
-    bounds = summary.join(asked, ["t", "u"]).groupBy("q", "t", "cell").agg(F.sum("most").alias("bound"))
-    bounds = bounds.join(floor, "q", "left")
-    return bounds.select("q", "t", "cell", "bound", (F.col("bound") >= F.coalesce("floor", F.lit(0))).alias("open"))
+def _asked(spark: SparkSession, items: Items, own: np.ndarray, floor: np.ndarray) -> DataFrame:
+    """``(q, t, u, floor)`` of each term ``u`` that an item has beside a list ``t`` of its own."""
+    item = np.repeat(np.arange(len(items.q)), np.diff(items.start))
+    lists = pa.table({"q": items.q[item[own]], "t": items.t[own], "floor": floor[item[own]]})
+    terms = pa.table({"p": items.q[item], "u": items.t})
+    lists, terms = spark.createDataFrame(lists), spark.createDataFrame(terms)
+    return staged(lists.join(terms, F.col("q") == F.col("p")).select("q", "t", "u", "floor"), "asked")
 
 
 def _round(docs: DataFrame, wanted_terms: list[tuple[int, str]], top: int) -> DataFrame | None:
@@ -198,22 +329,24 @@ def _round(docs: DataFrame, wanted_terms: list[tuple[int, str]], top: int) -> Da
     df = np.zeros(len(vocabulary), np.int64)
     df[held.column("t").to_numpy()] = held.column("df").to_numpy()
     number = {w: k for k, w in enumerate(vocabulary)}
-    wanted = pa.table({"q": pa.array([q for q, _ in wanted_terms], pa.int64()),
-                       "t": pa.array([number[w] for _, w in wanted_terms], pa.int32())})
-    wanted = spark.createDataFrame(wanted)
+    items = Items.of(np.array([q for q, _ in wanted_terms], np.int64), np.array([number[w] for _, w in wanted_terms], np.int32))
+    wanted = spark.createDataFrame(pa.table({"q": np.repeat(items.q, np.diff(items.start)), "t": items.t}))
     # Alike documents lie side by side, so a task sums its blocks up well before they are shuffled.
     vec = vectors(found, weights(df, documents), documents, length)
     vec = staged(vec.repartitionByRange("code", F.xxhash64("row")).sortWithinPartitions("code"), "vectors")
-    lists = staged(_postings(vec).groupBy("t").agg(F.count(F.lit(1)).alias("df"), F.max("c").alias("most")), "lists")
-    lists = lists.withColumn("bits", F.least(F.greatest(F.ceil(F.log2(F.col("df") / BLOCK)), F.lit(0)), F.lit(BITS)).cast("int"))
-    floor = staged(floors(vec, wanted, top), "floors")
-    lists_of = staged(essential(wanted, lists, floor), "essential")
-    together = lists_of.join(wanted.withColumnRenamed("t", "u"), "q").select("t", "u").distinct()
-    summary = staged(summaries(vec, lists.join(lists_of, "t", "left_semi"), together), "summaries")
-    left = staged(open_blocks(summary, wanted, lists_of, floor).where("open").select("q", "t", "cell"), "open-blocks")
-    pairs = _postings(vec, "code").join(lists.select("t", "bits"), "t").select("row", "t", _cell("code", "bits").alias("cell"))
-    pairs = pairs.join(left, ["t", "cell"]).select("q", "row").distinct()
-    placed = scores(vec, pairs, wanted).join(floor, "q", "left").where(F.col("score") >= F.coalesce("floor", F.lit(1)))
+    lists = _postings(vec).groupBy("t").agg(F.max("c").alias("most")).toArrow()
+    most = np.zeros(len(vocabulary), np.int64)
+    most[lists.column("t").to_numpy()] = lists.column("most").to_numpy()
+    bits = np.clip(np.ceil(np.log2(np.maximum(df, 1) / BLOCK)), 0, BITS).astype(np.int64)
+    floor = floors(vec, wanted, items, top)
+    own = essential(items, most, floor)
+    asked = _asked(spark, items, own, floor)
+    summary = staged(summaries(vec, items, own, bits), "summaries")
+    left = staged(open_blocks(summary, asked).where("open").select("q", "t", "cell"), "open-blocks")
+    cells = spark.createDataFrame(pa.table({"t": np.arange(len(bits), dtype=np.int32), "bits": bits.astype(np.int32)}))
+    pairs = _postings(vec, "code").join(cells, "t").select("row", "t", F.expr(f"shiftright(code, {BITS} - bits)").alias("cell"))
+    pairs = staged(pairs.join(left, ["t", "cell"]).select("q", "row").distinct(), "pairs")
+    placed = scores(vec, pairs, items, floor)
     order = [F.desc("score"), F.col("doc_id"), F.col("row")]
     return staged(best(placed, "q", order, top).select("q", "rank", "doc_id", "score"), "ranked")
 
