@@ -20,7 +20,7 @@ from caremart.functions import (  # noqa: E402
     month_day_year,
 )
 from caremart.operators import cda, changes, claims, omop, quality, review  # noqa: E402
-from caremart.plans import lakehouse, posing  # noqa: E402
+from caremart.plans import incremental, lakehouse, posing  # noqa: E402
 from caremart.session import fresh_folder  # noqa: E402
 from caremart.sources import delimited, tables  # noqa: E402
 from caremart.sources.manifest import url_manifest  # noqa: E402
@@ -598,6 +598,58 @@ def quarantine_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.quarantine_documents").select("patient_id", "document_id", "reason")
 
 
+def _landed(rows: DataFrame, target: str, batch: int) -> None:
+    """A batch as a stream lands it."""
+    named = rows.withColumn(ingest.STREAM_ID, F.lit("run")).withColumn(ingest.BATCH_ID, F.lit(batch))
+    named.write.mode("append").partitionBy(ingest.STREAM_ID, ingest.BATCH_ID).parquet(target)
+
+
+def _in_batches(spark: SparkSession, sf_dir: str, table: str, feeds: tuple[str, ...]) -> incremental.Incremental:
+    """A table after three refreshes: a first batch, a second and a wrong one, the wrong one withdrawn.
+
+    It has to be equal to that of one run over all rows.
+    """
+    work = fresh_folder(spark, "batches")
+    tables_ = incremental.Incremental(spark, f"{work}/tables", [table])
+    claims_, rx, docs = f"{work}/claims", f"{work}/rx", f"{work}/docs"
+    lines = posing.medical_claims(spark, sf_dir)
+    fills = posing.pharmacy_claims(spark, sf_dir)
+    turns = posing.documents(spark, sf_dir)
+    first = {"claims": F.col("ContractID") == "CF", "rx": F.col("ContractID") != "view",
+             "docs": F.col("document_id").endswith("0")}
+    sources = {"claims": (lines, claims_), "rx": (fills, rx), "docs": (turns, docs)}
+    refresh = {"claims": tables_.refresh_claims, "rx": tables_.refresh_prescriptions, "docs": tables_.refresh_documents}
+
+    def refreshed() -> None:
+        for feed in feeds:
+            refresh[feed](sources[feed][1])
+        tables_.refresh_gold()
+
+    for batch in (0, 1):
+        for feed in feeds:
+            rows, target = sources[feed]
+            mine = first[feed] if batch == 0 else ~first[feed]
+            _landed(rows.where(mine), target, batch)
+            if batch:
+                key = {"claims": "MemberID", "rx": "MemberID", "docs": "patient_id"}[feed]
+                wrong = rows.where(first[feed]).withColumn(key, F.concat(F.lit("wrong"), key))
+                if feed == "docs":
+                    wrong = wrong.withColumn("document_id", F.concat(F.lit("wrong"), "document_id"))
+                _landed(wrong, target, 2)
+        refreshed()
+    ingest.reset_ingest(spark, *[f"{sources[f][1]}/{ingest.STREAM_ID}=run/{ingest.BATCH_ID}=2" for f in feeds])
+    refreshed()
+    return tables_
+
+
+def _silver_in_batches(table: str) -> Query:
+    return lambda s, d: _in_batches(s, d, table, ("claims",)).silver[table].read()
+
+
+def _gold_in_batches(table: str, *feeds: str) -> Query:
+    return lambda s, d: _in_batches(s, d, table, feeds).gold[table].read()
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return visit_cost_per_person(spark, SMOKE_DIR)
 
@@ -674,6 +726,12 @@ def queries() -> dict[str, Query]:
         "person_layout": person_layout,
         "lakehouse_end_to_end": lakehouse_end_to_end,
         "quarantine_documents": quarantine_documents,
+        "two_runs_claims": _silver_in_batches("medical_claims_claim"),
+        "two_runs_procedures": _silver_in_batches("medical_claims_procedure"),
+        "two_runs_diagnoses": _silver_in_batches("medical_claims_diagnosis"),
+        "two_runs_person": _gold_in_batches("person", "docs"),
+        "two_runs_visit": _gold_in_batches("visit_occurrence", "claims", "docs"),
+        "two_runs_cost": _gold_in_batches("cost", "claims", "rx"),
     }
     return named | (llm.queries() if llm else {})
 

@@ -301,23 +301,27 @@ def _visit_lines(claim: DataFrame, *extra: str, id_only: bool = False) -> DataFr
     ).distinct()
 
 
-def _cost_of_visits(claim: DataFrame) -> DataFrame:
+def cost_of_visits(claim: DataFrame, *more: str) -> DataFrame:
+    """Cost rows of claim visits; ``more`` may name the episode's ``AdmitDate`` and ``DischDate``."""
     lines = _visit_lines(claim, "Billed", "Allowed", *_PAID_PARTS, id_only=True)
     rows = lines.select(
         "medical_claim_id",
         claim_visit_key().alias("cost_event_id"),
         *[c.alias(n) for n, c in _cost_columns("visit").items()],
+        *more,
     )
     return rows.withColumn("cost_id", hash_id("medical_claim_id", *_COST_ID))
 
 
-def _cost_of_drugs(rx: DataFrame) -> DataFrame:
+def cost_of_drugs(rx: DataFrame, *more: str) -> DataFrame:
+    """Cost rows of dispensed drugs; ``more`` are columns that the claim's id determines."""
     money = ["Billed", "Allowed", "IngredientCost", "DispensingFee", *_PAID_PARTS]
-    rows = rx.select("prescription_claim_id", *money).distinct().select(
+    rows = rx.select("prescription_claim_id", *money, *more).distinct().select(
         F.col("prescription_claim_id").alias("cost_event_id"),
         *[c.alias(n) for n, c in _cost_columns("drug").items()],
         F.col("IngredientCost").alias("paid_ingredient_cost"),
         F.col("DispensingFee").alias("paid_dispensing_fee"),
+        *more,
     )
     return rows.withColumn("cost_id", hash_id(*_COST_ID))
 
@@ -325,8 +329,8 @@ def _cost_of_drugs(rx: DataFrame) -> DataFrame:
 def omop_cost(claim: DataFrame, rx: DataFrame) -> DataFrame:
     """Cost of claim visits and of dispensed drugs."""
     schema = schemas.COST
-    visits = conform(_cost_of_visits(claim), schema)
-    return visits.unionByName(conform(_cost_of_drugs(rx), schema))
+    visits = conform(cost_of_visits(claim), schema)
+    return visits.unionByName(conform(cost_of_drugs(rx), schema))
 
 
 def _claim_visits(claim: DataFrame) -> DataFrame:
