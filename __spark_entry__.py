@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -28,9 +29,9 @@ from caremart.streaming import ingest  # noqa: E402
 
 try:
     from caremart.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("caremart.llm", "corpus_pipeline"):
-        raise
+except ImportError as missing:
+    # Removed, or without one of its packages: the other queries stand for themselves.
+    warnings.warn(f"the queries of caremart.llm are left out: {missing}", stacklevel=1)
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
