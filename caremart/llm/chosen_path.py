@@ -25,7 +25,7 @@ most of the family is in do not meet each other.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -282,14 +282,29 @@ def family_links(hot: DataFrame, sets: DataFrame, known: DataFrame, percent: int
     return staged(rows.mapInArrow(_blocks(percent), "a long, b long"), "family-links")
 
 
-def _sizes(node: DataFrame, *more: Column) -> DataFrame:
-    """``(path, size, pivot)`` and ``more`` of nodes with two members or more."""
+def _sizes(node: DataFrame) -> DataFrame:
+    """``(path, size, pivot)`` of nodes with two members or more."""
     count = node.groupBy("path").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("path", "rep"), "rep"))["rep"].alias("pivot"), *more
+        F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("path", "rep"), "rep"))["rep"].alias("pivot")
     )
     return staged(count.where("size > 1"), "paths")
 
 
+def _not_thinned(large: DataFrame, byte: Callable[[int], Column]) -> DataFrame:
+    """The paths of nodes whose branches have more than half of the node's pairs to compare.
+
+    Told from grouped counts, a way at a time: no row is copied for it.
+    """
+    left = None
+    for fork in range(FORKS):
+        count = large.groupBy("path", byte(fork).alias("byte")).agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("of"))
+        pairs = count.groupBy("path").agg(F.sum(F.when(F.col("n") > 1, F.col("n") * F.col("n")).otherwise(0)).alias("left"),
+                                          F.first("of").alias("of"))
+        left = pairs if left is None else left.union(pairs)
+    left = left.groupBy("path").agg(F.sum("left").alias("left"), F.first("of").alias("of"))
+    return left.where(2 * F.col("left") > F.col("of") * F.col("of")).select("path")
+
+
 def candidates(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """What trees bring together of classes ``(rep, first, sig)``.
 
@@ -323,20 +338,17 @@ def candidates(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
             hot.append(large.select("rep", "pivot"))
             break
         # Different bytes of the signature in each way, from a place that the path selects.
-        byte = F.expr(f"substring(sig, cast(pmod(pmod(xxhash64(path, {level}), {SIGNATURE}) + fork * {SIGNATURE // FORKS}, "
-                      f"{SIGNATURE}) as int) + 1, 1)")
-        forked = large.select("*", F.explode(F.sequence(F.lit(0), F.lit(FORKS - 1))).alias("fork"))
-        forked = forked.select(
-            F.col("path").alias("parent"), F.xxhash64("path", "fork", byte).alias("path"), "rep", "sig",
-            F.col("size").alias("of"),
-        )
-        count = _sizes(forked, F.first("parent").alias("parent"), F.first("of").alias("of"))
-        thinned = count.groupBy("parent").agg(F.sum(F.col("size") * F.col("size")).alias("left"), F.first("of").alias("of"))
-        thinned = staged(thinned.where(2 * F.col("left") > F.col("of") * F.col("of")).select("parent"), "families")
-        hot.append(large.join(thinned, large["path"] == thinned["parent"], "left_semi").select("rep", "pivot"))
-        count = staged(count.join(thinned, "parent", "left_anti").select("path", "size", "pivot"), "paths")
-        alive = staged(forked.select("path", "rep", "sig").join(count, "path").select(
-            "path", "rep", "sig", "size", "pivot"), "nodes")
+        byte = lambda fork: F.expr(
+            f"substring(sig, cast(pmod(pmod(xxhash64(path, {level}), {SIGNATURE}) + ({fork}) * {SIGNATURE // FORKS}, "
+            f"{SIGNATURE}) as int) + 1, 1)")
+        families = staged(_not_thinned(large, byte), "families")
+        hot.append(large.join(families, "path", "left_semi").select("rep", "pivot"))
+        # Only members of nodes that branching thins out are there several times.
+        thin = large.join(families, "path", "left_anti")
+        forked = thin.select("*", F.explode(F.sequence(F.lit(0), F.lit(FORKS - 1))).alias("fork"))
+        forked = forked.select(F.xxhash64("path", "fork", byte("fork")).alias("path"), "rep", "sig")
+        count = _sizes(forked)
+        alive = staged(forked.join(count, "path").select("path", "rep", "sig", "size", "pivot"), "nodes")
     nodes = small[0]
     for more in small[1:]:
         nodes = nodes.union(more)

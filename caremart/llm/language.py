@@ -18,7 +18,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,12 +27,11 @@ from caremart.sources.tables import staged
 
 #: Documents per language that the counts are made of, about (chosen by a hash of the id).
 SAMPLE_PER_LANGUAGE = 2000
-#: Words, and n-grams of each length, that the model keeps: the most frequent ones.
+#: Words, and n-grams of each length, that the model keeps over all languages: each language has
+#: its own most frequent ones, an equal share of these numbers, but at least ``LEAST_ENTRIES``.
 MODEL_WORDS = 50_000
 MODEL_GRAMS = 30_000
-#: More labels than this are not languages; the rarest of them are not learned. With all
-#: entries and so many languages the model, which every task gets, has 136 MB.
-MAX_LANGUAGES = 200
+LEAST_ENTRIES = 200
 LONGEST = 4
 UNKNOWN = "und"
 #: Characters that are scored together, about: bounds the memory of a task.
@@ -69,19 +68,44 @@ def _word_of(edges: np.ndarray, starts: int, n: int) -> np.ndarray:
     return np.where(inside, word, -1)
 
 
+@dataclass
+class Entries:
+    """Words, or n-grams of one length: a base score by language, and what entries add to it.
+
+    An entry has a row of ``(language, more)`` for each language that knows it
+    and nothing for the others, so many languages cost no space.
+    """
+
+    base: np.ndarray
+    start: np.ndarray
+    language: np.ndarray
+    more: np.ndarray
+
+    def added(self, at: np.ndarray, owner: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
+        """Sum over entries ``at`` of their additions times ``weight``, by owner and language."""
+        count = self.start[at + 1] - self.start[at]
+        total = np.cumsum(count)
+        place = np.arange(total[-1] if len(total) else 0) - np.repeat(total - count - self.start[at], count)
+        width = len(self.base)
+        to = np.repeat(owner, count) * width + self.language[place]
+        return np.bincount(to, weights=np.repeat(weight, count) * self.more[place], minlength=size * width).reshape(size, width)
+
+
 @dataclass
 class Model:
-    """Log frequencies by language; a plain value that is sent to the tasks."""
+    """Log frequencies by language; a plain value that is sent to the tasks.
+
+    An entry takes some 60 bytes, and 12 more for each language that knows it.
+    """
 
     languages: list[str]
     words: dict[str, int]
-    word_scores: np.ndarray
+    word_scores: Entries | None
     #: For n = 1 .. LONGEST: sorted keys and their scores.
-    grams: list[tuple[np.ndarray, np.ndarray]]
+    grams: list[tuple[np.ndarray, Entries]]
 
-    def unseen(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of words without an entry, and which of them any n-gram is known of."""
-        scores = np.zeros((len(words), len(self.languages)))
+    def unseen(self, words: list[str], doc: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Add the scores of words without an entry to their documents'; which of them any n-gram is known of."""
         known = np.zeros(len(words), dtype=bool)
         codes, edges = _grams(words)
         for n in range(LONGEST, 0, -1):
@@ -96,13 +120,13 @@ class Model:
             word, at = word[hit], at[hit]
             if not len(word):
                 continue
+            # A word scores the mean over its n-grams of this length.
             count = np.bincount(word, minlength=len(words))
             new = count > 0
-            for k in range(len(self.languages)):
-                total = np.bincount(word, weights=table[at, k], minlength=len(words))
-                scores[new, k] = total[new] / count[new]
+            total += np.bincount(doc[new], minlength=len(total))[:, None] * table.base
+            total += table.added(at, doc[word], 1.0 / count[word], len(total))
             known |= new
-        return scores, known
+        return known
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; ``und`` and 0 without letters or without a model."""
@@ -114,17 +138,15 @@ class Model:
             return best, score
         words = list(chain.from_iterable(found))
         ids = np.fromiter(map(self.words.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        each = np.zeros((len(words), len(self.languages)))
-        if len(self.word_scores):
-            each[:] = self.word_scores[ids]
+        doc = np.repeat(np.arange(len(texts)), sizes)
         known = ids >= 0
+        total = np.zeros((len(texts), len(self.languages)))
+        if known.any():
+            total += np.bincount(doc[known], minlength=len(texts))[:, None] * self.word_scores.base
+            total += self.word_scores.added(ids[known], doc[known], np.ones(int(known.sum())), len(texts))
         new = np.flatnonzero(~known)
         if len(new):
-            each[new], known[new] = self.unseen([words[i] for i in new])
-        doc = np.repeat(np.arange(len(texts)), sizes)
-        total = np.stack(
-            [np.bincount(doc, weights=each[:, k], minlength=len(texts)) for k in range(len(self.languages))], axis=1
-        )
+            known[new] = self.unseen([words[i] for i in new], doc[new], total)
         share = np.bincount(doc, weights=known, minlength=len(texts)) / np.maximum(sizes, 1)
         weight = np.exp(total - total.max(axis=1, keepdims=True))
         top = total.argmax(axis=1)
@@ -164,34 +186,39 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     """A model of the labelled rows of ``docs``.
 
     About ``sample`` documents of each language are read, the same ones in
-    each run; rows with null text or label are not. Only the
-    ``MAX_LANGUAGES`` most frequent labels are learned.
+    each run; rows with null text or label are not. Every label is learned,
+    however rare. Of each language the most frequent words and n-grams are
+    entries, equally many of each, about ``words`` and ``grams`` in all.
     """
     rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), docs[lang].alias("lang"))
     rows = rows.where("text is not null and lang is not null")
-    per = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not per:
-        return Model([], {}, np.zeros((0, 0)), [])
-    languages = sorted(r["lang"] for r in per)
-    share = F.create_map(*chain.from_iterable((F.lit(r["lang"]), F.lit(min(1.0, sample / r["count"]))) for r in per))
+    per = staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    languages = sorted(r["lang"] for r in per.select("lang").collect())
+    if not languages:
+        return Model([], {}, None, [])
     chance = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.where(chance < F.try_element_at(share, F.col("lang"))).select("lang", "text")
+    chosen = rows.join(per, "lang").where(chance * F.col("rows") < sample).select("lang", "text")
     counts = chosen.mapInArrow(_counted, "lang string, n int, gram string, count long")
-    table = counts.groupBy("n", "gram", "lang").agg(F.sum("count").alias("count"))
-    table = staged(table.groupBy("n", "gram").agg(
-        F.sum("count").alias("total"), F.collect_list(F.struct("lang", "count")).alias("by")), "language-counts")
+    table = staged(counts.groupBy("n", "gram", "lang").agg(F.sum("count").alias("count")), "language-counts")
     number = {name: k for k, name in enumerate(languages)}
 
-    def entries(n: int, most: int) -> tuple[list[str], np.ndarray]:
-        top = table.where((F.col("n") == n) & (F.col("total") > 1))
-        top = top.orderBy(F.desc("total"), "gram").limit(most).select("gram", "by").collect()
-        count = np.zeros((len(top), len(languages)))
-        for i, row in enumerate(top):
-            for x in row["by"]:
-                count[i, number[x["lang"]]] = x["count"]
+    def entries(n: int, most: int) -> tuple[list[str], Entries]:
+        mine = table.where(F.col("n") == n)
+        total = mine.groupBy("gram").agg(F.sum("count").alias("total")).where("total > 1")
+        mine = mine.join(total, "gram").select("gram", "lang", "count")
+        order = Window.partitionBy("lang").orderBy(F.desc("count"), "gram")
+        own = mine.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max(LEAST_ENTRIES, most // len(languages)))
+        found = mine.join(own.select("gram").distinct(), "gram").orderBy("gram", "lang").toArrow()
+        names, place = np.unique(found.column("gram").to_numpy(), return_inverse=True)
+        language = np.array([number[x] for x in found.column("lang").to_pylist()], np.int32)
+        count = found.column("count").to_numpy().astype(float)
+        order_ = np.lexsort((language, place))
+        place, language, count = place[order_], language[order_], count[order_]
         smooth = 0.5
-        scores = np.log(count + smooth) - np.log(count.sum(axis=0) + smooth * (len(top) + 1))
-        return [r["gram"] for r in top], scores.astype(np.float32)
+        whole = np.bincount(language, weights=count, minlength=len(languages)) + smooth * (len(names) + 1)
+        more = (np.log(count + smooth) - np.log(smooth)).astype(np.float32)
+        start = np.searchsorted(place, np.arange(len(names) + 1))
+        return names.tolist(), Entries(np.log(smooth) - np.log(whole), start, language, more)
 
     known, word_scores = entries(0, words)
     lists = []
@@ -202,7 +229,10 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
             dtype=np.uint64, count=len(names),
         )
         order = np.argsort(keys)
-        lists.append((keys[order], scores[order]))
+        size = np.diff(scores.start)[order]
+        start = np.concatenate([[0], np.cumsum(size)])
+        place = np.arange(start[-1]) - np.repeat(start[:-1] - scores.start[:-1][order], size)
+        lists.append((keys[order], Entries(scores.base, start, scores.language[place], scores.more[place])))
     return Model(languages, {w: i for i, w in enumerate(known)}, word_scores, lists)
 
 

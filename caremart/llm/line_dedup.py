@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caremart.llm.names import free_names
 from caremart.sources.tables import staged
 
 #: A line is boilerplate on a host if more than this share of its pages ...
@@ -57,21 +58,22 @@ def boilerplate_lines(docs: DataFrame, text: str = "text", host: str = "source",
     return staged(found.groupBy("host").agg(F.collect_list("line").alias("lines")), "boilerplate")
 
 
-def with_kept_lines(docs: DataFrame, text: str = "text", host: str = "source",
-                    max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
-    """``docs`` with ``_lines``, its lines, and ``_kept``, those that stay, as arrays.
+def with_kept_lines(docs: DataFrame, text: str = "text", host: str = "source", max_ratio: float = MAX_RATIO,
+                    min_pages: int = MIN_PAGES, copies: bool = True) -> tuple[DataFrame, str, str]:
+    """``docs`` with its lines, and those that stay, as arrays in two further columns, whose names are given too.
 
     Both are null where the text is null; an empty text has one empty line.
-    Other lines stay in order, repeated or not.
+    Other lines stay in order, repeated or not. The new names are none of the
+    table's, whatever it calls its columns.
     """
+    of, drop, lines, kept = free_names(docs, "host", "drop", "lines", "kept")
     found = boilerplate_lines(docs, text, host, max_ratio, min_pages, copies)
-    found = found.select(F.col("host").alias("_host"), F.col("lines").alias("_drop"))
-    joined = docs.join(found, docs[host].eqNullSafe(F.col("_host")), "left")
-    lines = F.split(docs[text], "\n")
-    kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(
-        F.filter("_lines", lambda x: ~F.coalesce(F.array_contains(F.col("_drop"), _key(x)), F.lit(False)))
+    found = found.select(F.col("host").alias(of), F.col("lines").alias(drop))
+    joined = docs.join(found, docs[host].eqNullSafe(F.col(of)), "left")
+    stays = F.when(F.col(drop).isNull(), F.col(lines)).otherwise(
+        F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col(drop), _key(x)), F.lit(False)))
     )
-    return joined.withColumn("_lines", lines).withColumn("_kept", kept).drop("_host", "_drop")
+    return joined.withColumn(lines, F.split(docs[text], "\n")).withColumn(kept, stays).drop(of, drop), lines, kept
 
 
 def drop_boilerplate(docs: DataFrame, text: str = "text", host: str = "source",
@@ -80,23 +82,23 @@ def drop_boilerplate(docs: DataFrame, text: str = "text", host: str = "source",
 
     ``n_chars``, where there is such a column, is counted anew.
     """
-    kept = with_kept_lines(docs, text, host, max_ratio, min_pages, copies)
-    clean = F.array_join("_kept", "\n")
+    with_lines, _, kept = with_kept_lines(docs, text, host, max_ratio, min_pages, copies)
+    clean = F.array_join(kept, "\n")
     new = {text: clean}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length(clean).cast(docs.schema["n_chars"].dataType)
-    return kept.withColumns(new).select(*docs.columns)
+    return with_lines.withColumns(new).select(*docs.columns)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, judged by its source as the host."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    kept = with_kept_lines(docs)
-    clean = F.coalesce(F.array_join("_kept", "\n"), F.lit(""))
-    return kept.select(
+    with_lines, lines, kept = with_kept_lines(docs)
+    clean = F.coalesce(F.array_join(kept, "\n"), F.lit(""))
+    return with_lines.select(
         "doc_id",
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).cast("long").alias("n_dropped"),
         F.length(clean).cast("long").alias("n_kept_chars"),
         F.sha2(clean, 256).alias("kept_sha256"),
     )

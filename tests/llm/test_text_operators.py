@@ -177,9 +177,10 @@ def test_longer_grams_go_first():
     keys = lambda *gs: np.array(sorted(
         int(language._gram_keys(np.frombuffer(g.encode("utf-32-le"), np.uint32).astype(np.uint64), len(g))[0]) for g in gs
     ), np.uint64)
-    grams = [(keys("a"), np.log([[0.9, 0.1]])), (keys(), np.zeros((0, 2))), (keys("abc"), np.log([[0.2, 0.8]])),
-             (keys(), np.zeros((0, 2)))]
-    model = language.Model(["x", "y"], {"word": 0}, np.log([[0.7, 0.3]]), grams)
+    entries = lambda *rows: language.Entries(
+        np.zeros(2), np.arange(0, 2 * len(rows) + 1, 2), np.tile([0, 1], len(rows)), np.log(np.array(rows).reshape(-1)))
+    grams = [(keys("a"), entries([0.9, 0.1])), (keys(), entries()), (keys("abc"), entries([0.2, 0.8])), (keys(), entries())]
+    model = language.Model(["x", "y"], {"word": 0}, entries([0.7, 0.3]), grams)
     best, score = model.predict(["word", "abc", "a", "zzz", "abc zzz"])
     assert best[:3] == ["x", "y", "x"] and score[3] == 0
     assert score[:3] == pytest.approx([0.7, 0.8, 0.9]) and score[4] == pytest.approx(0.4)
@@ -283,10 +284,10 @@ def test_queries_match_their_sql(spark, name):
     assert good, text
 
 
-def test_ten_operators_and_the_pipeline():
+def test_thirteen_operators_and_the_pipeline():
     names = set(queries())
-    assert "pipeline" in names and len(names) == 11
-    assert {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 11))
+    assert "pipeline" in names and len(names) == 14
+    assert {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 14))
 
 
 @needs_data
