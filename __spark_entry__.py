@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from caremart import schemas  # noqa: E402
@@ -191,18 +191,45 @@ def malformed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cda.split_malformed(parsed)[1].select("patient_id", "document_id")
 
 
+def _sections_down(xml: Column, depth: Column) -> Column:
+    """A posed document with its section so many sections further down."""
+    opened = F.concat(F.lit("<component>"), F.repeat(F.lit("<section><component>"), depth), F.lit("<section>"))
+    closed = F.concat(F.lit("</section>"), F.repeat(F.lit("</component></section>"), depth), F.lit("</component></structured"))
+    xml = F.replace(xml, F.lit("<component><section>"), opened)
+    return F.replace(xml, F.lit("</section></component></structured"), closed)
+
+
 def doc_nested_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose section lies up to six sections deep, by turn."""
-    depth = F.expr("cast(cast(substring_index(document_id, '-', -1) as bigint) % 7 as int)")
-    xml = F.regexp_replace("xml_string", "<section>", "<outer/><section>")
-    opened = F.concat(F.repeat(F.lit("<section><component>"), depth), F.lit("<section>"))
-    closed = F.concat(F.lit("</section>"), F.repeat(F.lit("</component></section>"), depth))
-    xml = F.replace(F.replace(xml, F.lit("<outer/><section>"), opened), F.lit("</section></component></structured"),
-                    F.concat(closed, F.lit("</component></structured")))
-    docs = posing.documents(spark, sf_dir).withColumn("xml_string", xml)
+    """Documents whose section lies up to 200 sections deep, by turn."""
+    depth = F.expr("cast(cast(substring_index(document_id, '-', -1) as bigint) * 37 % 200 as int)")
+    docs = posing.documents(spark, sf_dir)
+    docs = docs.withColumn("xml_string", _sections_down(F.col("xml_string"), depth))
     return cda.doc_problems(cda.parse_documents(docs))
 
 
+def doc_unclosed_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third document opens a thousand sections and closes none; the others are read."""
+    bad = F.expr("cast(substring_index(document_id, '-', -1) as bigint) % 3 = 1")
+    docs = posing.documents(spark, sf_dir)
+    xml = F.replace("xml_string", F.lit("<structuredBody>"), F.concat(F.lit("<structuredBody>"), F.repeat(F.lit("<section>"), F.lit(1000))))
+    docs = docs.withColumn("xml_string", F.when(bad, xml).otherwise(F.col("xml_string")))
+    good, _ = cda.split_usable(tables.staged(cda.parse_documents(docs), "parsed"))
+    return cda.doc_patients(good).select("document_id", "problem_count", "medication_count")
+
+
+def doc_first_anywhere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose summary code, time and title stand in a section, before others of their kind."""
+    docs = posing.documents(spark, sf_dir)
+    header = r"(?s)<code code=\"34133-9\".*?</code>(<title>.*?</title>)<effectiveTime.*?</effectiveTime>"
+    moved = F.regexp_extract("xml_string", header, 0)
+    first = F.concat(F.lit("<component><section><!-- <title>no</title> --><code code=\"x\"/>"), moved,
+                     F.lit("</section><section><title>later</title><effectiveTime value=\"1999\"/></section></component>"))
+    xml = F.replace("xml_string", moved, F.lit(""))
+    # The section comes first in the body, before the entries' times.
+    xml = F.replace(xml, F.lit("<structuredBody>"), F.concat(F.lit("<structuredBody>"), first))
+    return cda.doc_patients(cda.parse_documents(docs.withColumn("xml_string", xml)))
+
+
 def doc_material_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents whose materials have one child only, which is no standard one."""
     inner = "<manufacturedMaterial>.*?</manufacturedMaterial>"
@@ -670,6 +697,8 @@ def queries() -> dict[str, Query]:
         "doc_problems": lambda s, d: Silver(s, d).problem,
         "doc_medications": lambda s, d: Silver(s, d).medication,
         "doc_nested_sections": doc_nested_sections,
+        "doc_unclosed_sections": doc_unclosed_sections,
+        "doc_first_anywhere": doc_first_anywhere,
         "doc_material_children": doc_material_children,
         "doc_prefixes": doc_prefixes,
         "malformed_documents": malformed_documents,

@@ -32,10 +32,6 @@ RXNORM = "2.16.840.1.113883.6.88"
 NO_INFORMATION = "NI"
 PROBLEM_TYPE_CONCEPT = "CCDA_XML_DOCS"
 
-# Sections may hold sections. The schema has this many levels of them below the
-# body, and more where a document has more.
-SECTION_DEPTH = 4
-
 # Why a document is set aside, and the columns that are kept of it.
 MALFORMED, NOT_CLINICAL = "malformed", "not a clinical document"
 NO_TEXT, NO_ID = "empty", "no document id"
@@ -43,6 +39,12 @@ QUARANTINE = ["patient_id", "document_id", "reason", "malformed"]
 
 _TEXT = T.ArrayType(T.StringType())
 _WILDCARD = "any_other"
+# Holds copies of what counts wherever in a document it stands first.
+_FOUND = "firstFound"
+
+# Pieces of patterns for tags: a prefix, and attributes whose values may hold a ">".
+_PREFIX = r"(?:[^\s<>/!?:]+:)?"
+_ATTRIBUTES = r"""(?:[^<>"']++|"[^"<]*"|'[^'<]*')*+"""
 
 
 def _element(*attributes: str, **children: T.DataType) -> T.ArrayType:
@@ -52,7 +54,7 @@ def _element(*attributes: str, **children: T.DataType) -> T.ArrayType:
     return T.ArrayType(T.StructType(fields))
 
 
-def _document_schema(section_depth: int) -> T.StructType:
+def _document_schema() -> T.StructType:
     value = _element("value")
     person_name = _element(given=_TEXT, family=_TEXT)
     address = _element(
@@ -97,8 +99,6 @@ def _document_schema(section_depth: int) -> T.StructType:
         "entry": _element(act=act, substanceAdministration=administration),
     }
     section = _element(**content)
-    for _ in range(section_depth - 1):
-        section = _element(**content, component=_element(section=section))
 
     patient = _element(
         name=person_name,
@@ -118,9 +118,7 @@ def _document_schema(section_depth: int) -> T.StructType:
     )
     performer = _element(assignedEntity=_element(assignedPerson=_element(name=person_name)))
     root = _element(
-        code=_element("code", "displayName"),
-        title=_TEXT,
-        effectiveTime=_element("value"),
+        **{_FOUND: _element(code=_element("displayName"), title=_TEXT, effectiveTime=_element("value"))},
         recordTarget=_element(patientRole=role),
         documentationOf=_element(serviceEvent=_element(performer=performer)),
         component=_element(
@@ -140,35 +138,129 @@ _XML_OPTIONS = {
 }
 
 
-def section_depth(docs: DataFrame, xml: str = "xml_string") -> int:
-    """Levels of nested sections in the deepest document; one number over all.
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it.
+
+    Columns that stand for expressions are put in their places by the
+    optimizer, each time they are named; a variable of a function is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def plain_markup(xml: Column) -> Column:
+    """Document text without comments, and with marked character data as escaped text."""
+    xml = F.when(xml.contains("<!--"), F.regexp_replace(xml, r"(?s)<!--.*?-->", "")).otherwise(xml)
+
+    def escaped(part: Column, i: Column) -> Column:
+        end = F.instr(part, "]]>")
+        data = F.replace(F.replace(F.substring(part, F.lit(1), end - 1), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.when((i > 0) & (end > 0), F.concat(data, F.substring(part, end + 3, F.length(part)))).otherwise(
+            F.when(i > 0, F.concat(F.lit("<![CDATA["), part)).otherwise(part))
+
+    parts = F.transform(F.split(xml, r"<!\[CDATA\["), escaped)
+    return F.when(xml.contains("<![CDATA["), F.array_join(parts, "")).otherwise(xml)
 
-    Counts opening and closing section tags in the text. Tags in comments may
-    raise the number, which does no harm.
+
+def nested_sections(xml: Column) -> Column:
+    """Whether a section opens before the one before it has closed."""
+    tags = F.regexp_extract_all(xml, F.lit(rf"</?{_PREFIX}section(?=[\s>]){_ATTRIBUTES}>"), F.lit(0))
+    marks = F.transform(
+        tags, lambda t: F.when(t.startswith("</"), ")").when(t.endswith("/>"), "").otherwise("(")
+    )
+    return F.contains(F.array_join(marks, ""), F.lit("(("))
+
+
+def flat_sections(xml: Column) -> Column:
+    """Document text in which no section lies in another one.
+
+    The text is cut at section tags. A stack of the open sections tells whose
+    piece each one is, and sections follow each other in the order in which
+    they open, each with its own pieces. So one schema of one level reads any
+    depth. A text whose section tags do not match stays as it is.
     """
-    tags = F.regexp_extract_all(xml, F.lit(r"<(/?)(?:[^\s<>/!?:]+:)?section(?=[\s>])"), F.lit(1))
-    step = F.transform(tags, lambda t: F.when(t == "/", -1).otherwise(1))
-    level = F.aggregate(
+    pieces = F.transform(
+        F.split(xml, rf"(?=</?{_PREFIX}section[\s>])"),
+        lambda p, i: F.struct(i.cast("int").alias("i"), p.alias("text")),
+    )
+
+    def piece(of: Column, at: Column, text: Column) -> Column:
+        return F.struct(of.cast("int").alias("of"), at.cast("int").alias("at"), text.alias("text"))
+
+    def state(open_: Column, out: Column, good: Column) -> Column:
+        return F.struct(open_.alias("open"), out.alias("out"), good.alias("good"))
+
+    def step(a: Column, x: Column) -> Column:
+        # Between sections a piece is its own, after all that have opened by then.
+        inner = lambda open_: F.coalesce(F.try_element_at(open_, F.lit(-1)), x["i"])
+        outer = F.slice(a["open"], F.lit(1), F.greatest(F.size(a["open"]) - 1, F.lit(0)))
+        end = F.instr(x["text"], ">")
+        tag, rest = F.substring(x["text"], F.lit(1), end), F.substring(x["text"], end + 1, F.length(x["text"]))
+        closes = x["text"].startswith("</")
+        empty = x["text"].rlike(rf"^<{_PREFIX}section{_ATTRIBUTES}(?<=/)>")
+        return (
+            F.when(closes, state(
+                outer,
+                F.concat(a["out"], F.array(piece(inner(a["open"]), 2 * x["i"], tag), piece(inner(outer), 2 * x["i"] + 1, rest))),
+                a["good"] & (F.size(a["open"]) > 0)))
+            .when(empty, state(a["open"], F.concat(a["out"], F.array(piece(inner(a["open"]), 2 * x["i"], x["text"]))), a["good"]))
+            .otherwise(state(
+                F.concat(a["open"], F.array(x["i"])),
+                F.concat(a["out"], F.array(piece(x["i"], 2 * x["i"], x["text"]))), a["good"]))
+        )
+
+    nothing = F.array().cast("array<int>")
+    first = F.array(piece(F.lit(-1), F.lit(0), F.get(pieces, F.lit(0))["text"]))
+    return F.aggregate(
+        F.slice(pieces, F.lit(2), F.size(pieces)),
+        state(nothing, first, F.lit(True)),
         step,
-        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
-        lambda a, x: F.struct(
-            F.greatest(a["now"] + x, F.lit(0)).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most")
+        lambda a: F.when(
+            a["good"] & (F.size(a["open"]) == 0), F.array_join(F.transform(F.array_sort(a["out"]), lambda p: p["text"]), "")
         ),
-        lambda a: a["most"],
     )
-    return docs.agg(F.max(level)).first()[0] or 0
 
 
-def read_cda(xml: Column, depth: int = SECTION_DEPTH) -> Column:
-    """Parse document text into the document struct, with ``depth`` levels of sections.
+def with_first_found(xml: Column) -> Column:
+    """Document text with copies of the summary code, the time and the title that stand first in it.
+
+    They count wherever they are, in sections too; the copies stand at one
+    place, so that the parse that reads the rest reads them as well.
+    """
+    prefixed = _prefixed(xml)
+
+    def cut(pattern: str) -> Column:
+        """First match; in a document with prefixes an element may have any."""
+        return F.when(
+            prefixed, F.regexp_extract(xml, pattern.replace("<~", f"<{_PREFIX}").replace("</~", f"</{_PREFIX}"), 0)
+        ).otherwise(F.regexp_extract(xml, pattern.replace("<~", "<").replace("</~", "</"), 0))
+
+    def empty(tag: Column) -> Column:
+        """A start tag as an element without content."""
+        return F.when(tag != "", F.concat(F.regexp_replace(tag, r"/?>$", ""), F.lit("/>"))).otherwise("")
+
+    value = f"""(?:"{SUMMARY_DOCUMENT_CODE}"|'{SUMMARY_DOCUMENT_CODE}')"""
+    before = r"""(?:[^<>"']*(?:"[^"<]*"|'[^'<]*'))*?[^<>"']*?(?<=\s)"""
+    code = empty(cut(rf"<~code(?=\s){before}code\s*=\s*{value}{_ATTRIBUTES}>"))
+    time = empty(cut(rf"<~effectiveTime(?=[\s>/]){_ATTRIBUTES}>"))
+    title = cut(rf"(?s)<~title(?=[\s>/]){_ATTRIBUTES}(?:(?<=/)>|>.*?</~title\s*>)")
+    root = F.regexp_extract(xml, rf"(?s)^.*?<{_PREFIX}ClinicalDocument(?=[\s>]){_ATTRIBUTES}(?<!/)>", 0)
+    found = F.concat(F.lit(f"<{_FOUND}>"), code, time, title, F.lit(f"</{_FOUND}>"))
+    return F.when(root != "", F.concat(root, found, F.substring(xml, F.length(root) + 1, F.length(xml)))).otherwise(xml)
+
+
+def _prefixed(xml: Column) -> Column:
+    return xml.rlike(r"<[^\s<>/!?:]+:ClinicalDocument[\s>/]")
+
+
+def read_cda(xml: Column) -> Column:
+    """Parse document text, prepared by the functions above, into the document struct.
 
     Prefixed documents need namespace stripping; the others must not have it,
     because it would fold extension elements into the standard ones.
     """
-    prefixed = xml.rlike(r"<[^\s<>/!?:]+:ClinicalDocument[\s>/]")
-    schema = _document_schema(depth)
+    schema = _document_schema()
     return F.when(
-        prefixed, F.from_xml(xml, schema, {**_XML_OPTIONS, "ignoreNamespace": "true"})
+        _prefixed(xml), F.from_xml(xml, schema, {**_XML_OPTIONS, "ignoreNamespace": "true"})
     ).otherwise(F.from_xml(xml, schema, _XML_OPTIONS))
 
 
@@ -340,33 +432,9 @@ def _administrations(section: Column) -> Column:
     )
 
 
-def _sections(cda: Column, levels: int) -> Column:
-    """Sections of the body, each level reduced to the fields that are read."""
-
-    def reduced(found: Column) -> Column:
-        return F.transform(
-            found,
-            lambda s: F.struct(s["templateId"].alias("templateId"), s["entry"].alias("entry")),
-        )
-
-    def below(found: Column, depth: int) -> Column:
-        """Document order: a section, then the sections inside it."""
-        if depth == 1:
-            return reduced(found)
-        return F.flatten(
-            F.transform(
-                found,
-                lambda s: F.concat(
-                    reduced(_one(s)),
-                    F.coalesce(
-                        below(nodes(_one(s), "component/section"), depth - 1),
-                        reduced(F.filter(_one(s), lambda _: F.lit(False))),
-                    ),
-                ),
-            )
-        )
-
-    return below(nodes(_one(cda), "component/structuredBody/component/section"), levels)
+def _sections(cda: Column) -> Column:
+    """Sections of the body in document order."""
+    return nodes(_one(cda), "component/structuredBody/component/section")
 
 
 def _document_columns() -> dict[str, Column]:
@@ -378,13 +446,12 @@ def _document_columns() -> dict[str, Column]:
     def phone(use: str) -> Column:
         return F.get(_having(phones, "use", use), F.lit(0))["_value"]
 
-    summary = F.get(_having(nodes(cda, "code"), "code", SUMMARY_DOCUMENT_CODE), F.lit(0))
     performer = "documentationOf/serviceEvent/performer/assignedEntity/assignedPerson/name"
     birth_time = attribute(patient, "birthTime", "value")
     return {
-        "document_type": summary["_displayName"],
-        "effective_time": cda_timestamp(attribute(cda, "effectiveTime", "value")),
-        "document_title": text(cda, "title"),
+        "document_type": attribute(cda, f"{_FOUND}/code", "displayName"),
+        "effective_time": cda_timestamp(attribute(cda, f"{_FOUND}/effectiveTime", "value")),
+        "document_title": text(cda, f"{_FOUND}/title"),
         "patient_fname": text(patient, "name/given"),
         "patient_lname": text(patient, "name/family"),
         "gender_code": attribute(patient, "administrativeGenderCode", "code"),
@@ -416,9 +483,7 @@ def _document_columns() -> dict[str, Column]:
     }
 
 
-def parse_documents(
-    docs: DataFrame, provider: str = "performer", depth: int | None = None
-) -> DataFrame:
+def parse_documents(docs: DataFrame, provider: str = "performer") -> DataFrame:
     """Parse ``xml_string`` of ``patient_id, document_id, xml_string`` rows.
 
     Gives the document fields, the ``problems`` and ``medications`` arrays and
@@ -428,22 +493,24 @@ def parse_documents(
     author of its ``last_entry`` where it has entries, for results equal to
     tables built that way.
 
-    ``depth`` is how deep sections may nest; without it the documents are
-    looked through for their deepest section first, so none is left out.
+    Sections may lie in sections, however deep. Whatever a document is, it is
+    judged by itself: neither the plan nor other documents depend on it.
     """
-    if depth is None:
-        depth = max(SECTION_DEPTH, section_depth(docs))
     if provider not in ("performer", "last_entry"):
         raise ValueError("provider must be 'performer' or 'last_entry'")
     keys = ["patient_id", "document_id"]
     # Stepwise projections keep each parse and lookup single: the optimizer
     # does not merge a costly column into several uses of it.
-    parsed = docs.select(*keys, read_cda(F.col("xml_string"), depth).alias("cda"))
+    text = _bound(F.col("xml_string"), plain_markup)
+    text = _bound(text, lambda x: F.when(nested_sections(x), F.coalesce(flat_sections(x), x)).otherwise(x))
+    text = _bound(text, with_first_found)
+    parsed = docs.select(*keys, "xml_string", _bound(text, read_cda).alias("cda"))
     parts = parsed.select(
         *keys,
+        "xml_string",
         "cda",
         nodes(F.array("cda"), "recordTarget/patientRole").alias("role"),
-        _sections(F.col("cda"), depth).alias("sections"),
+        _sections(F.col("cda")).alias("sections"),
     ).select(
         "*",
         nodes(F.col("role"), "patient").alias("patient"),
@@ -470,7 +537,7 @@ def parse_documents(
         *columns,
         nodes(F.col("entries"), "problems").alias("problems"),
         nodes(F.col("entries"), "medications").alias("medications"),
-        F.col("cda._corrupt_record").alias("malformed"),
+        F.when(F.col("cda._corrupt_record").isNotNull(), F.col("xml_string")).alias("malformed"),
         *([_last_author().alias("last_author")] if provider == "last_entry" else []),
     )
     if provider == "last_entry":

@@ -617,6 +617,9 @@ def oracles() -> dict[str, str]:
         "doc_problems": f"{_with(_PROBLEM)} SELECT * FROM problem",
         "doc_medications": f"{_with(_MEDICATION)} SELECT * FROM medication",
         "doc_nested_sections": f"{_with(_PROBLEM)} SELECT * FROM problem",
+        "doc_first_anywhere": f"{_with(_PATIENT)} SELECT * FROM patient",
+        "doc_unclosed_sections": f"""{_with(_PATIENT)} SELECT document_id, problem_count, medication_count FROM patient
+ WHERE CAST(split_part(document_id, '-', 2) AS BIGINT) % 3 <> 1""",
         "doc_material_children": f"{_with(_PATIENT)} SELECT * FROM patient",
         "doc_prefixes": f"{_with(_PATIENT)} SELECT * FROM patient",
         "malformed_documents": """SELECT conv_id::VARCHAR AS patient_id,

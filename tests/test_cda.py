@@ -2,6 +2,7 @@ import xml.etree.ElementTree as ElementTree
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from caremart.operators import cda
 from caremart.operators.cda import MEDICATION_SECTION, PROBLEM_SECTION, RXNORM
@@ -309,3 +310,61 @@ def test_one_parse_and_no_python(spark):
         # One call per namespace variant, of which one runs per document.
         assert plan.count("from_xml(") == 2
         assert "Python" not in plan
+
+
+def _texts(spark, *xmls):
+    return spark.createDataFrame([("p", str(k), x) for k, x in enumerate(xmls)], "patient_id string, document_id string, xml_string string")
+
+
+def test_any_depth_of_sections(spark):
+    def deep(n):
+        inner = section(PROBLEM_SECTION, act())
+        for k in range(n):
+            inner = f'<section n="{k}>{k}"><text>t{k}</text><component>{inner}</component><section/><title>after</title></section>'
+        return document(inner)
+
+    depths = [0, 1, 2, 7, 40, 200]
+    found = {r.document_id: r for r in cda.doc_patients(cda.parse_documents(_texts(spark, *map(deep, depths)))).collect()}
+    assert [found[str(k)].problem_count for k in range(len(depths))] == [1] * len(depths)
+
+
+def test_order_of_lifted_sections(spark):
+    xml = ("<a><section i='1'>x<section i='2'>y<section i='3'>z</section>y2</section><section i='4'>w</section>x2</section>m"
+           "<section i='5'>v</section>end</a>")
+    flat = _texts(spark, xml).select(cda.flat_sections(F.col("xml_string"))).first()[0]
+    assert flat == ("<a><section i='1'>xx2</section><section i='2'>yy2</section><section i='3'>z</section><section i='4'>w</section>m"
+                    "<section i='5'>v</section>end</a>")
+
+
+def test_the_plan_does_not_depend_on_the_documents(spark):
+    def size(*xmls):
+        before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+        plan = cda.parse_documents(_texts(spark, *xmls))._jdf.queryExecution().optimizedPlan().toString()
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
+        return len(plan)
+
+    assert size(document(section(PROBLEM_SECTION, act()))) == size("<section>" * 500)
+
+
+def test_unclosed_sections_harm_no_other_document(spark):
+    good = document(section(PROBLEM_SECTION, act()))
+    bad = good.replace("<structuredBody>", "<structuredBody>" + "<section>" * 1000)
+    parsed = cda.parse_documents(_texts(spark, good, bad, good.replace("</section>", "</section></section>", 1)))
+    rows = {r.document_id: r for r in parsed.select("document_id", "malformed", F.size("problems").alias("n")).collect()}
+    assert rows["0"].malformed is None and rows["0"].n == 1
+    assert rows["1"].malformed == bad and rows["2"].malformed is not None
+
+
+def test_code_time_and_title_stand_first_anywhere(spark):
+    header = HEADER.replace('<code code="34133-9" displayName="Summary"/><title>T</title>', "").replace(
+        '<effectiveTime value="20200102030405"/>', "")
+    inner = ('<section><!-- <title>in a comment</title> --><title a="1>2">A &amp; <![CDATA[<b>]]></title>'
+             "<code displayName='S &lt; T' code='34133-9'/><effectiveTime value=\"20210304\"/></section>")
+    later = '<section><title>later</title><code code="34133-9" displayName="later"/><effectiveTime value="20190101"/></section>'
+    empty = "<section><title/><effectiveTime/></section>"
+    rows = cda.doc_patients(cda.parse_documents(_texts(
+        spark, document(inner, later, header=header), document(empty, later, header=header), document(header=header)))).collect()
+    first, second, third = sorted(rows, key=lambda r: r.document_id)
+    assert (first.document_title, first.document_type, str(first.effective_time)[:10]) == ("A & <b>", "S < T", "2021-03-04")
+    assert (second.document_title, second.effective_time, second.document_type) == (None, None, "later")
+    assert (third.document_title, third.document_type, third.effective_time) == (None, None, None)
