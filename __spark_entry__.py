@@ -535,6 +535,17 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def self_reference_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as visits that name the one before; what the system says names one that is not there."""
+    turn = lambda n: F.concat_ws("-", F.col("conv_id"), n)
+    before = F.when(F.col("role") == "system", turn(F.col("turn") + 1000)).when(F.col("turn") > 0, turn(F.col("turn") - 1))
+    visits = posing.table(spark, sf_dir, "conversations").select(
+        turn(F.col("turn")).alias("visit_occurrence_id"),
+        F.coalesce(before, F.when(F.col("conv_id") % 3 == 0, F.lit("before all"))).alias("preceding_visit_occurrence_id"),
+    )
+    return quality.self_orphans(visits, "preceding_visit_occurrence_id", "visit_occurrence_id")
+
+
 def polymorphic_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _gold(spark, sf_dir)
     return quality.polymorphic_fk(gold["cost"], gold)
@@ -748,6 +759,7 @@ def queries() -> dict[str, Query]:
         "pk_report": lambda s, d: quality.pk_report(_gold(s, d)),
         "fk_orphans": fk_orphans,
         "fk_report": lambda s, d: quality.fk_report(_gold(s, d)),
+        "self_reference_orphans": self_reference_orphans,
         "polymorphic_fk": polymorphic_fk,
         "not_null_report": not_null_report,
         "length_report": length_report,

@@ -617,6 +617,10 @@ def oracles() -> dict[str, str]:
         "doc_problems": f"{_with(_PROBLEM)} SELECT * FROM problem",
         "doc_medications": f"{_with(_MEDICATION)} SELECT * FROM medication",
         "doc_nested_sections": f"{_with(_PROBLEM)} SELECT * FROM problem",
+        "self_reference_orphans": """WITH v AS (
+ SELECT concat(conv_id, '-', turn) AS id, CASE WHEN role = 'system' THEN concat(conv_id, '-', turn + 1000)
+  WHEN turn > 0 THEN concat(conv_id, '-', turn - 1) WHEN conv_id % 3 = 0 THEN 'before all' END AS before FROM conversations)
+ SELECT before AS id, count(*) AS rows FROM v WHERE before NOT IN (SELECT id FROM v WHERE id IS NOT NULL) GROUP BY before""",
         "doc_first_anywhere": f"{_with(_PATIENT)} SELECT * FROM patient",
         "doc_unclosed_sections": f"""{_with(_PATIENT)} SELECT document_id, problem_count, medication_count FROM patient
  WHERE CAST(split_part(document_id, '-', 2) AS BIGINT) % 3 <> 1""",

@@ -153,3 +153,13 @@ def test_missing_files(spark):
     landed = spark.createDataFrame(
         [("p", "a.xml"), ("p", "a.xml")], "patient_id string, file_name string")
     assert [r.url for r in quality.missing_files(manifest, landed).collect()] == ["u2"]
+
+
+def test_self_reference_in_one_scan(spark):
+    rows = [("a", None), ("b", "a"), ("c", "a"), ("d", "gone"), ("e", "gone"), ("f", "f"), (None, "a"), (None, "lost"), ("b", "c")]
+    visits = spark.createDataFrame(rows, "id string, before string")
+    found = quality.self_orphans(visits, "before", "id")
+    assert {tuple(r) for r in found.collect()} == {("gone", 2), ("lost", 1)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert quality.self_orphans(visits.limit(0), "before", "id").count() == 0
