@@ -152,11 +152,12 @@ def _fitted(rows: list[np.ndarray], labels: np.ndarray, words: bool) -> tuple[np
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
     """Models of quality and toxicity from about ``sample`` labelled documents.
 
-    Labels that repeat a document are read once; null labels are not. Without
-    a single label both models say even odds.
+    Labels that repeat a document are read once; of conflicting ones the
+    cautious one holds: the lowest quality, the highest toxicity. Null labels
+    are not read. Without a single label both models say even odds.
     """
     marks = labels.select(F.col("doc_id").alias("_id"), *TARGETS).where("_id is not null and quality is not null and toxic is not null")
-    marks = marks.dropDuplicates(["_id"])
+    marks = marks.groupBy("_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     count = marks.count()
     share = F.lit(min(1.0, sample / max(count, 1)))
     marks = marks.where(F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share)
@@ -173,7 +174,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def evidence(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``_quality`` and ``_toxic``, the classifier's probabilities."""
+    """``docs`` with ``_quality`` and ``_toxic``, the classifier's probabilities.
+
+    Columns of these names, in any case of letters, are replaced.
+    """
+    docs = docs.select(*[docs[c] for c in docs.columns if c.lower() not in ("_quality", "_toxic")])
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place, names = docs.columns.index(text), docs.columns
 
