@@ -6,6 +6,7 @@ import os
 import sys
 import warnings
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,6 +26,7 @@ from caremart.plans import incremental, lakehouse, posing  # noqa: E402
 from caremart.session import fresh_folder  # noqa: E402
 from caremart.sources import delimited, tables  # noqa: E402
 from caremart.sources.manifest import url_manifest  # noqa: E402
+from caremart.sources.parts import PART, PartTable  # noqa: E402
 from caremart.streaming import ingest  # noqa: E402
 
 try:
@@ -511,6 +513,21 @@ def diff_then_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.apply_changes(old, feed, ["id"], "version")
 
 
+def feed_from_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second and third version of a table in parts changed."""
+    old, new = _states(spark, sf_dir)
+    table = PartTable(spark, fresh_folder(spark, "versions"), old.schema)
+    part = F.col("segment").alias(PART)
+    segments = [r.segment for r in old.select("segment").distinct().collect()]
+    first = table.swap(old.select("*", part), segments)
+    changed = ["BUILDING", "HOUSEHOLD", "SUPPLIER"]
+    table.swap(new.filter(F.col("segment").isin(changed)).select("*", part), changed)
+    even = table.read(["HOUSEHOLD"]).filter(F.col("id") % 2 == 0)
+    table.swap(even.select("*", part), ["HOUSEHOLD"])
+    feed = changes.version_feed(table, ["id"], since=first)
+    return feed.withColumn("_commit_version", (F.col("_commit_version") - first).cast("int")).drop("_commit_timestamp")
+
+
 def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = posing.table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"),
@@ -546,6 +563,53 @@ def self_reference_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.self_orphans(visits, "preceding_visit_occurrence_id", "visit_occurrence_id")
 
 
+#: A field list in the form in which models publish theirs, for tables that are not built here.
+FIELD_LIST = [
+    # table, column, required, type, primary key, refers to
+    ("lineitem", "l_orderkey", "Yes", "integer", "Yes", "ORDERS.O_ORDERKEY"),
+    ("lineitem", "l_linenumber", "Yes", "integer", "Yes", None),
+    ("lineitem", "l_suppkey", "No", "integer", "No", "SUPPLIER.S_SUPPKEY"),
+    ("lineitem", "l_returnflag", "No", "varchar(1)", "No", None),
+    ("ORDERS", "o_orderkey", "Yes", "integer", "Yes", None),
+    ("ORDERS", "o_custkey", "Yes", "integer", "No", "CUSTOMER.C_CUSTKEY"),
+    ("ORDERS", "o_orderpriority", "No", "varchar(6)", "No", None),
+    ("customer", "c_custkey", "Yes", "integer", "Yes", None),
+    ("customer", "c_name", "No", "varchar(MAX)", "No", None),
+    ("supplier", "s_suppkey", "Yes", "integer", "Yes", None),
+    ("events", "event_id", "Yes", "integer", "Yes", None),
+    ("events", "user_id", "Yes", "integer", "No", "CONVERSATIONS.CONV_ID"),
+    ("events", "event_type", "No", "varchar(5)", "No", None),
+    ("conversations", "conv_id", "Yes", "integer", "Yes", None),
+    ("conversations", "text", "Yes", "varchar(40)", "No", None),
+    ("documents", "text", "Yes", "varchar(1000)", "No", None),
+    ("documents", "lang", "Yes", "varchar(2)", "No", None),
+    ("elsewhere", "elsewhere_id", "Yes", "integer", "Yes", "CUSTOMER.C_CUSTKEY"),
+]
+
+
+def field_list_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four reports by the rules of a field list: rows that break a rule, per rule."""
+    fields = spark.createDataFrame(
+        [(t, c, need, kind, key, "Yes" if to else "No", *(to or ".").split(".")) for t, c, need, kind, key, to in FIELD_LIST],
+        "cdmTableName string, cdmFieldName string, isRequired string, cdmDatatype string, isPrimaryKey string,"
+        " isForeignKey string, fkTableName string, fkFieldName string",
+    )
+    rules = quality.model_rules(fields)
+    names = ["lineitem", "orders", "customer", "supplier", "events", "conversations", "documents"]
+    at_hand = {n: posing.table(spark, sf_dir, n) for n in names}
+    reports = [
+        ("key", quality.pk_report(at_hand, rules), "key", F.col("duplicate_rows") + F.col("null_rows")),
+        ("reference", quality.fk_report(at_hand, rules), "column", F.col("orphan_rows")),
+        ("required", quality.not_null_report(at_hand, rules), "column", F.col("null_rows")),
+        ("length", quality.length_report(at_hand, rules), "column", F.col("too_long_rows")),
+    ]
+    parts = [
+        report.select("table", F.col(column).alias("column"), F.lit(kind).alias("rule"), rows.alias("rows"))
+        for kind, report, column, rows in reports
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def polymorphic_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _gold(spark, sf_dir)
     return quality.polymorphic_fk(gold["cost"], gold)
@@ -753,6 +817,7 @@ def queries() -> dict[str, Query]:
         "two_batch_equals_one_batch": two_batch_equals_one_batch,
         "snapshot_diff": snapshot_diff,
         "diff_then_apply": diff_then_apply,
+        "feed_from_version": feed_from_version,
         "apply_changes": apply_changes,
         "change_bounds": lambda s, d: changes.change_bounds(posing.changes(s, d)),
         "pk_violations": pk_violations,
@@ -760,6 +825,7 @@ def queries() -> dict[str, Query]:
         "fk_orphans": fk_orphans,
         "fk_report": lambda s, d: quality.fk_report(_gold(s, d)),
         "self_reference_orphans": self_reference_orphans,
+        "field_list_checks": field_list_checks,
         "polymorphic_fk": polymorphic_fk,
         "not_null_report": not_null_report,
         "length_report": length_report,

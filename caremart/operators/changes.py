@@ -1,19 +1,24 @@
 """Change feeds without a transactional table format.
 
 ``snapshot_diff`` derives the row changes between two states of a table,
-``apply_changes`` brings a table up to date with a change feed, and
-``change_bounds`` gives the time range of a feed.
+``version_feed`` chains them over the versions of a table, ``apply_changes``
+brings a table up to date with a change feed, and ``change_bounds`` gives the
+time range of a feed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caremart.sources.parts import PartTable
+
 CHANGE_TYPE = "_change_type"
 DELETE = "delete"
+COMMIT_VERSION, COMMIT_TIMESTAMP = "_commit_version", "_commit_timestamp"
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -55,6 +60,31 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     )
 
 
+def version_feed(table: PartTable, keys: Sequence[str], since: int = 0) -> DataFrame:
+    """Changes of every version of ``table`` after ``since``, with the version and its time.
+
+    Of each version only the parts that it swapped are read, before and after;
+    a row that moves between parts is an update. All versions are compared in
+    one pass, the version being part of the key.
+    """
+    columns = table.schema.fieldNames()
+    spark = table.spark
+    old, new = [], []
+    for before, version, at in table.history(since):
+        past, now = table.parts(before) if before else {}, table.parts(version)
+        swapped = {p for p in past.keys() | now.keys() if past.get(p) != now.get(p)}
+        commit = F.lit(version).cast("long").alias(COMMIT_VERSION), F.lit(at).alias(COMMIT_TIMESTAMP)
+        if swapped & past.keys():
+            old.append(table.read(swapped & past.keys(), before).select(*columns, *commit))
+        if swapped & now.keys():
+            new.append(table.read(swapped & now.keys(), version).select(*columns, *commit))
+    none = spark.createDataFrame([], table.schema).select(
+        *columns, F.lit(0).cast("long").alias(COMMIT_VERSION), F.lit(None).cast("timestamp").alias(COMMIT_TIMESTAMP)
+    )
+    sides = [reduce(DataFrame.unionByName, side, none) for side in (old, new)]
+    return snapshot_diff(*sides, [*keys, COMMIT_VERSION])
+
+
 def apply_changes(
     base: DataFrame,
     changes: DataFrame,

@@ -53,32 +53,42 @@ def _consensus(value: Column) -> Column:
     return F.when(F.min(value) == F.max(value), F.min(value))
 
 
-def _value_list(value: Column) -> Column:
-    """Distinct values as one sorted, comma-separated text; empty is NULL."""
-    return F.nullif(F.array_join(F.sort_array(F.collect_set(value)), ","), F.lit(""))
+def _value_list(field: str) -> Column:
+    """The values of a field as one sorted, comma-separated text; none is NULL."""
+    values = F.collect_list(F.when(F.col("field") == field, F.col("value")))
+    return F.nullif(F.array_join(F.sort_array(values), ","), F.lit(""))
 
 
 def omop_person(patient: DataFrame) -> DataFrame:
     """One row per patient over all its documents.
 
-    Documents of a patient mostly repeat the same header. They are reduced to
-    distinct headers first, spread over all of their columns, so a patient
-    with a large share of the documents does not end up in one task.
+    Documents of a patient mostly repeat the same header. Each field's values
+    are made distinct first, on the map side and spread over person, field and
+    value, so what is put together per patient is as long as its lists and not
+    as its documents are many.
     """
-    headers = patient.select(
-        "patient_id", "birth_date", "gender", "race", "ethnicity",
-        *_blank_to_text(*_HEADER_PROVIDER),
-    ).distinct()
     birth = F.col("birth_date")
-    people = headers.groupBy(F.col("patient_id").alias("person_id")).agg(
+    lists = {"provider": document_provider_key(), "gender": F.col("gender"), "race": F.col("race"),
+             "ethnicity": F.col("ethnicity")}
+    # The first row stands for the patient, with or without any value.
+    rows = [F.struct(F.lit("birth").alias("field"), F.lit(None).cast("string").alias("value"), birth.alias("birth"))]
+    rows += [
+        F.struct(F.lit(field).alias("field"), value.alias("value"), F.lit(None).cast(patient.schema["birth_date"].dataType).alias("birth"))
+        for field, value in lists.items()
+    ]
+    headers = patient.select("patient_id", "birth_date", "gender", "race", "ethnicity", *_blank_to_text(*_HEADER_PROVIDER))
+    values = headers.select("patient_id", F.inline(F.array(*rows)))
+    values = values.filter((F.col("field") == "birth") | F.col("value").isNotNull()).distinct()
+    birth = F.col("birth")
+    people = values.groupBy(F.col("patient_id").alias("person_id")).agg(
         _consensus(F.year(birth)).alias("year_of_birth"),
         _consensus(F.month(birth)).alias("month_of_birth"),
         _consensus(F.day(birth)).alias("day_of_birth"),
         _consensus(birth).alias("birth_datetime"),
-        _value_list(document_provider_key()).alias("provider_id"),
-        _value_list(F.col("gender")).alias("gender_source_value"),
-        _value_list(F.col("race")).alias("race_source_value"),
-        _value_list(F.col("ethnicity")).alias("ethnicity_source_value"),
+        _value_list("provider").alias("provider_id"),
+        _value_list("gender").alias("gender_source_value"),
+        _value_list("race").alias("race_source_value"),
+        _value_list("ethnicity").alias("ethnicity_source_value"),
     )
     return conform(people, schemas.PERSON)
 

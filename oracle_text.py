@@ -544,6 +544,36 @@ _MANIFEST = """manifest AS (
    '[?#].*$', ''), '/') AS part
   FROM (SELECT regexp_replace(url, '^(https?://[^/?#]+)', '\\1/raw/ccda') AS url FROM pages)))"""
 
+def _field_list_checks() -> str:
+    rows = []
+    for table, keys in (("lineitem", ["l_linenumber", "l_orderkey"]), ("orders", ["o_orderkey"]), ("customer", ["c_custkey"]),
+                        ("supplier", ["s_suppkey"]), ("events", ["event_id"]), ("conversations", ["conv_id"])):
+        same = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        rows.append((table, ",".join(keys), "key", f"""coalesce(sum(n) FILTER (WHERE n > 1 OR NOT ({same})), 0)
+ FROM (SELECT {", ".join(keys)}, count(*) AS n FROM {table} GROUP BY ALL)"""))
+    for table, column, parent, key in (
+        ("lineitem", "l_orderkey", "orders", "o_orderkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        ("orders", "o_custkey", "customer", "c_custkey"), ("events", "user_id", "conversations", "conv_id"),
+    ):
+        rows.append((table, column, "reference", f"""count(*) FROM {table} WHERE {column} IS NOT NULL
+ AND NOT EXISTS (SELECT 1 FROM {parent} WHERE {key} = {column})"""))
+    for table, columns in (
+        ("lineitem", ["l_orderkey", "l_linenumber"]), ("orders", ["o_orderkey", "o_custkey"]), ("customer", ["c_custkey"]),
+        ("supplier", ["s_suppkey"]), ("events", ["event_id", "user_id"]), ("conversations", ["conv_id", "text"]),
+        ("documents", ["text", "lang"]),
+    ):
+        rows += [(table, c, "required", f"count(*) FROM {table} WHERE {c} IS NULL") for c in columns]
+    for table, column, longest in (
+        ("lineitem", "l_returnflag", 1), ("orders", "o_orderpriority", 6), ("events", "event_type", 5),
+        ("conversations", "text", 40), ("documents", "text", 1000), ("documents", "lang", 2),
+    ):
+        rows.append((table, column, "length", f"count(*) FROM {table} WHERE len({column}) > {longest}"))
+    return "\nUNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS "column", '{rule}' AS rule, {rest.replace(" FROM ", " AS rows FROM ", 1)
+            if not rest.startswith("coalesce") else rest.replace("0)", "0) AS rows", 1)}""" for t, c, rule, rest in rows
+    )
+
+
 _CUSTOMER_NEXT = """state_old AS (SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment
  FROM customer),
 state_new AS (
@@ -705,6 +735,15 @@ def oracles() -> dict[str, str]:
  UNION ALL SELECT *, CASE WHEN id IN (SELECT id FROM gone) THEN 'update_postimage'
   ELSE 'insert' END FROM came""",
         "diff_then_apply": f"WITH {_CUSTOMER_NEXT} SELECT * FROM state_new",
+        "feed_from_version": f"""WITH {_CUSTOMER_NEXT},
+ gone AS (SELECT * FROM state_old EXCEPT SELECT * FROM state_new),
+ came AS (SELECT * FROM state_new EXCEPT SELECT * FROM state_old)
+ SELECT *, CASE WHEN id IN (SELECT id FROM came) THEN 'update_preimage' ELSE 'delete' END
+  AS _change_type, 1 AS _commit_version FROM gone
+ UNION ALL SELECT *, CASE WHEN id IN (SELECT id FROM gone) THEN 'update_postimage'
+  ELSE 'insert' END, 1 FROM came
+ UNION ALL SELECT *, 'delete', 2 FROM state_new WHERE segment = 'HOUSEHOLD' AND id % 2 <> 0""",
+        "field_list_checks": _field_list_checks(),
         "apply_changes": """WITH last AS (SELECT * FROM events QUALIFY
   row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
  SELECT user_id, event_type AS last_event, value AS last_value FROM last
