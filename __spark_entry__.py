@@ -22,7 +22,7 @@ from caremart.functions import (  # noqa: E402
     month_day_year,
 )
 from caremart.operators import cda, changes, claims, omop, quality, review  # noqa: E402
-from caremart.plans import incremental, lakehouse, posing  # noqa: E402
+from caremart.plans import incremental, lakehouse, posing, replay  # noqa: E402
 from caremart.session import fresh_folder  # noqa: E402
 from caremart.sources import delimited, tables  # noqa: E402
 from caremart.sources.manifest import url_manifest  # noqa: E402
@@ -423,6 +423,24 @@ def csv_evolved_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.drop("created_at", delimited.RESCUED)
 
 
+def quarantine_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders set aside for a column that the contract comes to know; others stay for one that it does not."""
+    folder, work = _order_files(spark, sf_dir), fresh_folder(spark, "replay")
+    posing.table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("odd")
+    ).write.mode("append").csv(folder, header=True)
+    ingest.ingest_csv(spark, folder, f"{work}/bronze", f"{work}/checkpoint", ORDER_CSV)
+    replay.RescuedRows(spark, f"{work}/rows", ORDER_CSV).land(f"{work}/bronze")
+    grown = schemas.ddl("order_id string, customer string, priority string, status string")
+    rows = replay.RescuedRows(spark, f"{work}/rows", ORDER_CSV, grown)
+    rows.land(f"{work}/bronze")
+    rows.replay()
+    rows.replay()
+    states = [rows.read(s).select(*grown.fieldNames(), F.lit(s).alias("state"))
+              for s in (replay.CLEAN, replay.REPLAYED, replay.ASIDE)]
+    return reduce(DataFrame.unionByName, states)
+
+
 def stream_bronze_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = fresh_folder(spark, "claims")
     posing.medical_claims(spark, sf_dir).write.csv(f"{work}/raw", header=True)
@@ -812,6 +830,7 @@ def queries() -> dict[str, Query]:
         "csv_clean_rows": csv_clean_rows,
         "csv_audit_rows": csv_audit_rows,
         "csv_evolved_schema": csv_evolved_schema,
+        "quarantine_replay": quarantine_replay,
         "stream_bronze_claims": stream_bronze_claims,
         "stream_bronze_documents": stream_bronze_documents,
         "two_batch_equals_one_batch": two_batch_equals_one_batch,

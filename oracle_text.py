@@ -714,6 +714,11 @@ def oracles() -> dict[str, str]:
         "csv_rescued_ingest": _ORDER_TEXT,
         "csv_clean_rows": f"SELECT * FROM ({_ORDER_TEXT}) WHERE _rescued_data IS NULL",
         "csv_audit_rows": f"SELECT * FROM ({_ORDER_TEXT}) WHERE _rescued_data IS NOT NULL",
+        "quarantine_replay": """SELECT o_orderkey::VARCHAR AS order_id, o_custkey::VARCHAR AS customer,
+ CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority,
+ CASE WHEN o_orderstatus = 'O' THEN o_orderstatus END AS status,
+ CASE WHEN o_orderstatus = 'O' THEN 'replayed' ELSE 'clean' END AS state FROM orders
+ UNION ALL SELECT o_orderkey::VARCHAR, NULL, NULL, NULL, 'aside' FROM orders WHERE o_orderstatus = 'P'""",
         "csv_evolved_schema": """SELECT o_orderkey::VARCHAR AS order_id,
  o_custkey::VARCHAR AS customer,
  CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS priority,
