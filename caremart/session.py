@@ -16,8 +16,11 @@ def build_session(app: str = "caremart", master: str | None = None, **conf: str)
     ``spark.sql.codegen.maxFields`` stays at its default on purpose: typed
     claim lines are 175 columns wide, and fusing such a row into one generated
     method makes it too large for the JIT compiler (5x slower when measured).
+    Methods that come out larger than HotSpot compiles all the same are left to
+    Spark's operators, each of which is compiled by itself.
     """
     settings = {
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
