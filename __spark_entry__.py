@@ -25,7 +25,7 @@ from caremart.operators import cda, changes, claims, omop, quality, review  # no
 from caremart.plans import incremental, lakehouse, posing, replay  # noqa: E402
 from caremart.session import fresh_folder  # noqa: E402
 from caremart.sources import delimited, tables  # noqa: E402
-from caremart.sources.manifest import url_manifest  # noqa: E402
+from caremart.sources.manifest import read_manifest, url_manifest  # noqa: E402
 from caremart.sources.parts import PART, PartTable  # noqa: E402
 from caremart.streaming import ingest  # noqa: E402
 
@@ -476,6 +476,68 @@ def stream_bronze_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _document_files(spark: SparkSession, sf_dir: str, max_files: int) -> tuple[DataFrame, DataFrame]:
+    """Posed documents, and what the stream lands of one file for each."""
+    work = fresh_folder(spark, "document-files")
+    docs = posing.documents(spark, sf_dir)
+    posing.write_document_files(docs, f"{work}/raw")
+    ingest.ingest_documents(spark, f"{work}/raw", f"{work}/bronze", f"{work}/checkpoint", max_files=max_files)
+    return docs, spark.read.parquet(f"{work}/bronze")
+
+
+def bronze_document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document files as landed: ids out of the name, size, path and time, the text against what was written."""
+    docs, landed = _document_files(spark, sf_dir, 10_000)
+    written = docs.select(F.col("document_id").alias("written_id"), F.col("xml_string").alias("written"))
+    joined = landed.join(written, F.col("document_id") == F.col("written_id"), "left")
+    return joined.select(
+        "patient_id",
+        "document_id",
+        "file_name",
+        F.endswith("file_path", F.concat(F.lit("/"), "file_name")).alias("path_ends_in_name"),
+        (F.col("file_size_bytes") == F.octet_length("written")).alias("size_as_written"),
+        F.col("xml_string").eqNullSafe(F.col("written")).alias("text_as_written"),
+        (F.col("created_at") >= F.col("file_modification_time")).alias("landed_after_written"),
+    )
+
+
+FILES_A_BATCH = 200
+
+
+def stream_batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in each micro-batch of a stream that takes so many at a time."""
+    _, landed = _document_files(spark, sf_dir, FILES_A_BATCH)
+    return landed.groupBy(F.col(ingest.BATCH_ID).cast("bigint").alias("batch")).agg(
+        F.count_distinct("file_path").alias("files")
+    )
+
+
+def stream_reset_reads_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run lands nothing, one after a reset lands all files once more."""
+    work = fresh_folder(spark, "reset")
+    orders = posing.table(spark, sf_dir, "orders")
+    orders.select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer"),
+        F.col("o_orderpriority").alias("priority"),
+    ).write.csv(f"{work}/raw", header=True)
+    for state in (None, None, f"{work}/checkpoint"):
+        if state:
+            ingest.reset_ingest(spark, state)
+        ingest.ingest_csv(spark, f"{work}/raw", f"{work}/bronze", f"{work}/checkpoint", ORDER_CSV)
+    landed = spark.read.parquet(f"{work}/bronze")
+    return landed.groupBy("order_id").agg(
+        F.count(F.lit(1)).alias("times"), F.count_distinct(ingest.STREAM_ID).alias("streams")
+    )
+
+
+def manifest_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest as a delimited file of URLs."""
+    path = fresh_folder(spark, "manifest")
+    _manifest(spark, sf_dir).select(F.col("url").alias("pre_signed_urls")).write.csv(path, header=True)
+    return url_manifest(read_manifest(spark, path))
+
+
 def two_batch_equals_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that arrive between two runs are the second run's, and only its."""
     work = fresh_folder(spark, "two-batches")
@@ -833,6 +895,10 @@ def queries() -> dict[str, Query]:
         "quarantine_replay": quarantine_replay,
         "stream_bronze_claims": stream_bronze_claims,
         "stream_bronze_documents": stream_bronze_documents,
+        "bronze_document_files": bronze_document_files,
+        "stream_batch_sizes": stream_batch_sizes,
+        "stream_reset_reads_again": stream_reset_reads_again,
+        "manifest_from_csv": manifest_from_csv,
         "two_batch_equals_one_batch": two_batch_equals_one_batch,
         "snapshot_diff": snapshot_diff,
         "diff_then_apply": diff_then_apply,

@@ -7,6 +7,10 @@ whole tables, so every operator can be run and checked on any such data set.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -246,3 +250,28 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("update_postimage")
         .alias("_change_type"),
     )
+
+
+def write_document_files(docs: DataFrame, folder: str) -> None:
+    """One file per document, ``<patient>_<document>_ccda.xml``, written by the tasks.
+
+    A repeated task writes the same files again. Columns read: ``patient_id``,
+    ``document_id``, ``xml_string``; rows without any of them are left out.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        uri = "file:///" + re.sub("^file:/*", "", folder) if folder.startswith("file:") else folder
+        files, home = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+        files.create_dir(home, recursive=True)
+        for batch in batches:
+            names = []
+            for patient, document, text in zip(*(column.to_pylist() for column in batch.columns)):
+                names.append(f"{patient}_{document}_ccda.xml")
+                with files.open_output_stream(f"{home}/{names[-1]}") as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["file_name"])
+
+    rows = docs.select("patient_id", "document_id", "xml_string").dropna()
+    rows.mapInArrow(write, "file_name string").write.format("noop").mode("overwrite").save()

@@ -729,6 +729,14 @@ def oracles() -> dict[str, str]:
  CASE WHEN role = 'user' THEN len(string_split(text, chr(10))) ELSE 0 END AS problem_count,
  CASE WHEN role <> 'user' THEN len(string_split(text, chr(10))) ELSE 0 END AS medication_count
  FROM conversations""",
+        "bronze_document_files": """SELECT conv_id::VARCHAR AS patient_id, concat(conv_id, '-', turn) AS document_id,
+ concat(conv_id, '_', conv_id, '-', turn, '_ccda.xml') AS file_name, true AS path_ends_in_name,
+ true AS size_as_written, true AS text_as_written, true AS landed_after_written FROM conversations""",
+        "stream_batch_sizes": """SELECT batch, least(200, n - 200 * batch) AS files FROM
+ (SELECT count(*) AS n FROM conversations) t, range((n + 199) // 200) r(batch)""",
+        "stream_reset_reads_again": """SELECT o_orderkey::VARCHAR AS order_id, 2 * count(*) AS times,
+ 2 AS streams FROM orders GROUP BY o_orderkey""",
+        "manifest_from_csv": f"WITH {_MANIFEST} SELECT url, patient_id, file_name FROM manifest",
         "two_batch_equals_one_batch": """SELECT o_orderkey::VARCHAR AS order_id,
  o_custkey::VARCHAR AS customer, o_orderpriority AS priority,
  CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS batch_id FROM orders""",
