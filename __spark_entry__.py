@@ -241,6 +241,24 @@ def doc_material_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cda.doc_patients(cda.parse_documents(docs))
 
 
+def doc_problem_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First problems without information, second ones without a code; every problem has a translation."""
+    docs = posing.documents(spark, sf_dir)
+    translation = '><translation code="t" codeSystem="ts" codeSystemName="tn" displayName="td"></translation></value>'
+    xml = F.col("xml_string")
+    for there, then in (
+        ('<value code="c0"', '<value nullFlavor="NI" code="c0"'),
+        ('<value code="c1"', "<value"),
+        ("></value>", translation),
+    ):
+        xml = F.replace(xml, F.lit(there), F.lit(then))
+    problems = cda.doc_problems(cda.parse_documents(docs.withColumn("xml_string", xml)))
+    return problems.select(
+        "document_id", "condition_concept_id", "condition_concept_value", "condition_source_value",
+        "condition_source_concept_id", "provider_id",
+    )
+
+
 def doc_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a prefix of letters, digits, dash and dot on every element."""
     xml = F.regexp_replace("xml_string", "<(/?)(?=[A-Za-z])", "<$1h-7.x:")
@@ -855,6 +873,7 @@ def queries() -> dict[str, Query]:
         "doc_unclosed_sections": doc_unclosed_sections,
         "doc_first_anywhere": doc_first_anywhere,
         "doc_material_children": doc_material_children,
+        "doc_problem_codes": doc_problem_codes,
         "doc_prefixes": doc_prefixes,
         "malformed_documents": malformed_documents,
         "new_documents_only": new_documents_only,

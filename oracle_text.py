@@ -655,6 +655,12 @@ def oracles() -> dict[str, str]:
         "doc_unclosed_sections": f"""{_with(_PATIENT)} SELECT document_id, problem_count, medication_count FROM patient
  WHERE CAST(split_part(document_id, '-', 2) AS BIGINT) % 3 <> 1""",
         "doc_material_children": f"{_with(_PATIENT)} SELECT * FROM patient",
+        "doc_problem_codes": f"""{_with(_ENTRIES)} SELECT DISTINCT document_id,
+ CASE WHEN i = 1 THEN 'ts' ELSE '2.16.840.1' END AS condition_concept_id,
+ CASE WHEN i = 1 THEN 'tn' ELSE 'SYS' END AS condition_concept_value,
+ CASE WHEN i = 1 THEN 't' ELSE concat('c', i) END AS condition_source_value,
+ CASE WHEN i = 1 THEN 'td' ELSE line END AS condition_source_concept_id, concat('npi', i) AS provider_id
+ FROM entries WHERE role = 'user' AND i > 0""",
         "doc_prefixes": f"{_with(_PATIENT)} SELECT * FROM patient",
         "malformed_documents": """SELECT conv_id::VARCHAR AS patient_id,
  concat(conv_id, '-', turn) AS document_id FROM conversations WHERE role = 'system'""",
