@@ -1,0 +1,79 @@
+"""What claim products shuffle: each row once, as short as it can be told, ids made afterwards."""
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as driver
+from caremart import schemas
+from caremart.operators import claims, omop, quality
+from tests.test_claims_and_model import LINE, raw
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _rows(df):
+    return sorted(map(repr, df.select(*sorted(df.columns)).collect()))
+
+
+def _lines(spark, hashed):
+    rows = [LINE, LINE, {**LINE, "ICDDiag2": "other"}, {**LINE, "ProviderID": None}, {**LINE, "ProviderID": ""},
+            {**LINE, "ClaimID": None, "LineNum": "02"}, {**LINE, "ClaimID": "", "LineNum": "02", "AdmitDiag": ""},
+            {**LINE, "MemberID": None, "FromDate": None}, {**LINE, "AdmitSource": ""}, {**LINE, "COB": None}]
+    return claims.typed_lines(raw(spark, schemas.MEDICAL_CSV, *rows), hashed=hashed)
+
+
+def test_products_are_the_same_of_ids_and_of_their_texts(spark):
+    nothing = spark.createDataFrame([], schemas.SILVER_PATIENT)
+    no_rx = spark.createDataFrame([], schemas.SILVER_PRESCRIPTION)
+    for make in (claims.claim_lines, claims.claim_procedures, claims.claim_diagnoses,
+                 lambda x: omop.omop_visit(x, nothing), lambda x: omop.omop_cost(x, no_rx)):
+        one, other = make(_lines(spark, True)), make(_lines(spark, False))
+        assert one.columns == other.columns and _rows(one) == _rows(other)
+
+
+def test_claim_lines_keep_what_differs_in_codes_only(spark):
+    lines = claims.claim_lines(_lines(spark, False))
+    assert lines.count() == _lines(spark, True).distinct().count() == 9
+
+
+def test_conditions_need_one_shuffle_without_ids(spark):
+    problem = spark.createDataFrame([], schemas.SILVER_PROBLEM)
+    dx = claims.claim_diagnoses(_lines(spark, False))
+    plan = _plan(omop.omop_condition(problem, dx))
+    claims_side = plan[plan.index("REPARTITION_BY_COL") - 400:]
+    assert plan.count("REPARTITION_BY_COL") == 1 and "ENSURE_REQUIREMENTS" not in claims_side
+    below = plan[plan.index("REPARTITION_BY_COL"):]
+    assert "medical_claim_id" not in below and "HashAggregate" not in below
+
+
+def test_visit_costs_are_the_join_of_both_tables(spark):
+    claim = _lines(spark, True)
+    visit = omop.omop_visit(claim, spark.createDataFrame([], schemas.SILVER_PATIENT))
+    cost = omop.omop_cost(claim, spark.createDataFrame([], schemas.SILVER_PRESCRIPTION))
+    joined = visit.join(cost, F.col("cost_event_id") == F.col("visit_occurrence_id"))
+    names = ["person_id", "total_charge", "total_paid", "paid_by_payer"]
+    pairs = omop.visit_costs(_lines(spark, False))
+    assert _rows(pairs.select(*names)) == _rows(joined.select(*names))
+    assert _plan(pairs).count("Exchange hashpartitioning") == 2
+
+
+def test_checks_store_no_model_table(spark, tmp_path):
+    day = date(2020, 1, 2)
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, 7, "F", "1-URGENT", day)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate date").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(
+        [(1, 2, 3, 1, 4.0, 5.0, 0.1, 0.2, "R", "O", day)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double,"
+        " l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate date",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(1, 7, "view", day, 2.0, '{"k": 1}')], "event_id long, user_id long, event_type string, ts date, value double, props string").write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(7, 0, "user", "a line")], "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    gold = driver._gold(spark, folder)
+    read = " ".join(quality.not_null_report(gold).inputFiles())
+    assert "/visit_occurrence-" not in read and "/cost-" not in read and "lineitem.parquet" in read
+    found = {(r["table"], r["column"]): r["null_rows"] for r in quality.not_null_report(gold).collect()}
+    assert found[("visit_occurrence", "person_id")] == 0
+    assert gold["provider"].count() == 4
