@@ -368,3 +368,11 @@ def test_code_time_and_title_stand_first_anywhere(spark):
     assert (first.document_title, first.document_type, str(first.effective_time)[:10]) == ("A & <b>", "S < T", "2021-03-04")
     assert (second.document_title, second.effective_time, second.document_type) == (None, None, "later")
     assert (third.document_title, third.document_type, third.effective_time) == (None, None, None)
+
+
+def test_sections_that_do_not_all_close_are_not_taken_apart(spark):
+    texts = ["<section>" * 1000, "<a><section><section></section></a>", "<section><section></section></section>",
+             "<section></section><section></section>", "<section><x:section a='>'></x:section></section>"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, xml string")
+    found = rows.select("i", cda.nested_sections(F.col("xml")).alias("nested")).orderBy("i").collect()
+    assert [r["nested"] for r in found] == [False, False, True, False, True]
