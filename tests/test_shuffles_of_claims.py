@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from caremart import schemas
 from caremart.operators import claims, omop, quality
+from caremart.plans import lakehouse
 from tests.test_claims_and_model import LINE, raw
 
 
@@ -77,3 +78,9 @@ def test_checks_store_no_model_table(spark, tmp_path):
     found = {(r["table"], r["column"]): r["null_rows"] for r in quality.not_null_report(gold).collect()}
     assert found[("visit_occurrence", "person_id")] == 0
     assert gold["provider"].count() == 4
+
+
+def test_a_refresh_from_files_shuffles_texts(spark):
+    made = lakehouse.silver_claims(raw(spark, schemas.MEDICAL_CSV, LINE), raw(spark, schemas.PHARMACY_CSV, {"ClaimID": "r"}))
+    plan = _plan(made["medical_claims_diagnosis"])
+    assert claims.CLAIM_TEXT in plan[plan.index("REPARTITION_BY_COL"):]
