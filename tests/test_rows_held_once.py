@@ -1,5 +1,7 @@
 """Distinct rows by one sort after the shuffle, and what is told apart by it."""
 
+from pyspark.sql import functions as F
+
 from caremart import schemas
 from caremart.functions.rows import distinct_near
 from caremart.operators import claims, omop
@@ -26,3 +28,12 @@ def test_conditions_of_diagnoses_as_seen(spark):
     plain = omop.omop_condition(problem, claims.claim_diagnoses(_lines(spark, False)))
     seen = omop.omop_condition(problem, claims.claim_diagnoses(_lines(spark, False), as_seen=True), as_seen=True)
     assert seen.schema == plain.schema and _rows(seen) == _rows(plain)
+
+
+def test_flags_are_counted_over_digests(spark):
+    typed = _lines(spark, False)
+    expected = claims.claim_lines(typed).groupBy("Inpatient_flag").agg(F.count(F.lit(1)).alias("lines"))
+    found = claims.flag_counts(typed)
+    assert _rows(found) == _rows(expected)
+    plan = _plan(found)
+    assert "_line#" in plan and "ICDDiag" not in plan[: plan.index("REPARTITION_BY_COL")]
