@@ -6,6 +6,9 @@ sequences of a text spell the same bytes; a link is a token of either side
 whose byte ranges overlap, a group is what lies between two places where
 tokens of both sides end. Ends are marked in one array of bytes, so all of it
 is arithmetic over the marks: each stretch between two marks is one link.
+Both sides end a token before a single space that stands between printable
+ASCII and an ASCII letter, so a text is cut there, a piece that comes again is
+not tokenised again, and what is known of the pieces is put together.
 
 A text's distinct linked pairs of ids go to a table, and count as often as
 rows have the text. The counts meet the texts again by a broadcast if they are
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -39,9 +43,16 @@ SENT = 6_000_000
 HELD = 1_000_000
 #: Characters of a text that go to the tokenizers at once, about.
 LONGEST = 1_000_000
+#: Pieces of a text that a worker keeps, at most, and characters of one.
+KEPT, KEPT_LENGTH = 100_000, 32
 _SPACE = "▁"
 #: Where a long text may be cut: no token of either side crosses a single space between ASCII letters.
 _CUT = regex.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
+#: The space between two pieces, which begins the second one.
+_BETWEEN = re.compile(r" (?=[A-Za-z])(?<=[!-~] )")
+#: A piece that others may stand before and after, and how many go to the tokenizers in one text.
+_INNER = re.compile(r"[A-Za-z](?s:.*[!-~])?\Z")
+TOGETHER = 500
 
 MEASURES = "n_a long, n_b long, n_groups long, n_links long"
 
@@ -82,6 +93,7 @@ class Pair:
         #: Decimal ids with what follows them: a comma inside a group, the group's bar or semicolon at its end.
         self.spelled = [x.encode() for n in names_a for x in (n + ",", n + "|")]
         self.spelled += [x.encode() for n in names_b for x in (n + ",", n + ";")]
+        self.kept: dict[str, tuple[bytes, bytes, bytes] | None] = {}
 
     def parts(self, text: str) -> list[str]:
         """The text in parts of about ``LONGEST`` characters, each but the first beginning with a space."""
@@ -123,6 +135,10 @@ class Pair:
 
     def groups(self, ids_a: np.ndarray, ids_b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, ends: np.ndarray) -> bytes:
         """The groups in decimal, as ``a1,a2|b1;a3|b2,b3``."""
+        return b"".join(self.tokens(ids_a, ids_b, at_a, at_b, ends))[:-1]
+
+    def tokens(self, ids_a: np.ndarray, ids_b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """What ``groups`` puts together: each token in decimal with what follows it."""
         last_a, last_b = at_a[ends], at_b[ends]
         in_a = np.zeros(len(ids_a), np.int64)
         in_a[last_a] = 1
@@ -133,7 +149,72 @@ class Pair:
         before_b = np.concatenate([[0], last_b + 1])
         order[np.arange(len(ids_a)) + before_b[group_a]] = 2 * ids_a + in_a
         order[np.arange(len(ids_b)) + last_a[group_b] + 1] = 2 * (ids_b + len(self.bytes_a)) + in_b
-        return b"".join(map(self.spelled.__getitem__, order.tolist()))[:-1]
+        return list(map(self.spelled.__getitem__, order.tolist()))
+
+    def aligned(self, pieces: list[str]) -> list[tuple[bytes, bytes, bytes] | None]:
+        """Of each piece its groups in decimal, the pairs of its links and its numbers of tokens and groups.
+
+        None for a piece that either side does not spell. Tokens of both sides
+        end where a piece does, so all pieces are aligned as one sequence.
+        """
+        inner = [k for k, p in enumerate(pieces) if _INNER.match(p)]
+        rest = sorted(set(range(len(pieces))) - set(inner))
+        sets = [inner[i : i + TOGETHER] for i in range(0, len(inner), TOGETHER)] + [[k] for k in rest]
+        out: list[tuple[bytes, bytes, bytes] | None] = [None] * len(pieces)
+        some, found = [], []
+        for which, ids in zip(sets, self.encode([" ".join([pieces[k] for k in s]) for s in sets]), strict=True):
+            if len(ids[0]):
+                some += which
+                found.append(ids)
+            elif len(which) > 1:  # one of them is not spelled
+                for k in which:
+                    ids = next(self.encode([pieces[k]]))
+                    if len(ids[0]):
+                        some.append(k)
+                        found.append(ids)
+        if not some:
+            return out
+        a, b = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+        # A piece has as many bytes as it is spelled with, and the space before it.
+        end = np.cumsum([len(pieces[k].encode()) + 1 for k in some])
+        n_a = np.diff(np.searchsorted(np.cumsum(self.size_a[a]), end, side="right"), prepend=0)
+        n_b = np.diff(np.searchsorted(np.cumsum(self.size_b[b]), end, side="right"), prepend=0)
+        at_a, at_b, ends = self.align(a, b)
+        links = (a[at_a] * len(self.bytes_b) + b[at_b]).tobytes()
+        link = 8 * np.searchsorted(at_a, np.concatenate([[0], np.cumsum(n_a)]))
+        groups = np.diff(np.concatenate([[0], np.cumsum(ends)])[link // 8])
+        numbers = np.stack([n_a, n_b, groups], axis=1).astype(np.int64).tobytes()
+        tokens = self.tokens(a, b, at_a, at_b, ends)
+        token = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
+        link = link.tolist()
+        for i, k in enumerate(some):
+            spelled = b"".join(tokens[token[i] : token[i + 1]])[:-1]
+            out[k] = spelled, links[link[i] : link[i + 1]], numbers[24 * i : 24 * i + 24]
+        return out
+
+    def measured(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray] | None]:
+        """Of each text its groups in decimal, the pairs of its links, and its numbers of tokens and groups.
+
+        None where a side does not spell the text.
+        """
+        cut = [_BETWEEN.split(t) if self.may_cut else [t] for t in texts]
+        kept = self.kept
+        new = list(dict.fromkeys(p for pieces in cut for p in pieces if p not in kept))
+        fresh = dict(zip(new, self.aligned(new), strict=True))
+        for pieces in cut:
+            found = [kept[p] if p in kept else fresh[p] for p in pieces]
+            if None in found:
+                yield None
+                continue
+            spelled, links, numbers = zip(*found, strict=True)
+            yield (
+                b";".join(spelled), np.frombuffer(b"".join(links), np.int64),
+                np.frombuffer(b"".join(numbers), np.int64).reshape(-1, 3).sum(axis=0),
+            )
+        if len(kept) + len(fresh) > KEPT:
+            kept.clear()
+        if len(fresh) <= KEPT:
+            kept.update((p, x) for p, x in fresh.items() if len(p) <= KEPT_LENGTH)
 
 
 @cache
@@ -164,14 +245,14 @@ def aligned_texts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         tool = pair_of(path_a, path_b)
         for batch in small(batches):
             rows = []
-            for a, b in tool.encode(batch.column(2).to_pylist()):
-                if not len(a):
-                    rows.append((0, 0, 0, 0, "", _packed(a, a)))
+            for found in tool.measured(batch.column(2).to_pylist()):
+                if found is None:
+                    none = np.zeros(0, np.int64)
+                    rows.append((0, 0, 0, 0, "", _packed(none, none)))
                     continue
-                at_a, at_b, ends = tool.align(a, b)
-                keys, times = np.unique(a[at_a] * len(tool.bytes_b) + b[at_b], return_counts=True)
-                spelled = tool.groups(a, b, at_a, at_b, ends)
-                rows.append((len(a), len(b), int(ends.sum()), len(ends), hashlib.sha256(spelled).hexdigest(), _packed(keys, times)))
+                spelled, links, numbers = found
+                keys, times = np.unique(links, return_counts=True)
+                rows.append((*numbers.tolist(), len(links), hashlib.sha256(spelled).hexdigest(), _packed(keys, times)))
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             columns = zip(*rows, strict=True) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
