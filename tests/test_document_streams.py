@@ -1,7 +1,11 @@
-"""What a stream of document files costs: jobs and tasks of a batch."""
+"""What a stream of document files costs: jobs and tasks of a batch, and documents written by many tasks."""
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
+import __spark_entry__ as entry
+from caremart.plans import posing
 from caremart.streaming import ingest
 
 THRESHOLD = "spark.sql.sources.parallelPartitionDiscovery.threshold"
@@ -65,3 +69,32 @@ def test_names_with_glob_characters_land_once(spark, files, tmp_path):
     (files / "q_d{2}.xml").write_text("<c/>")
     landed = land(spark, files, tmp_path / "out")
     assert landed.count() == 62 and landed.select("file_path").distinct().count() == 62
+
+
+@pytest.fixture
+def turns(tmp_path):
+    """Conversations in one piece; a turn occurs twice, one has no text."""
+    texts = ["a <b>\nc & d", "é", None, "", "twice", "twice"]
+    pq.write_table(pa.table({
+        "conv_id": pa.array([1, 2, 3, 4, 5, 5], pa.int64()), "turn": pa.array([0, 1, 0, 1, 0, 0], pa.int64()),
+        "role": ["user", "assistant", "user", "user", "user", "user"], "text": texts,
+    }), tmp_path / "conversations.parquet")
+    return str(tmp_path)
+
+
+def test_document_files_are_written_by_all_cores(spark, turns):
+    assert posing.documents(spark, turns).rdd.getNumPartitions() == 1
+    spread = posing.documents(spark, turns, spread=True)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(map(str, spread.collect())) == sorted(map(str, posing.documents(spark, turns).collect()))
+
+
+def test_document_files_are_compared_by_digest(spark, turns):
+    found = entry.bronze_document_files(spark, turns)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joined = plan[: plan.index("sha2(")]
+    assert "xml_string" not in joined
+    rows = found.collect()
+    # The turn that is there twice is one file, which both rows of it wrote.
+    assert sorted(r.document_id for r in rows) == ["1-0", "2-1", "4-1", "5-0", "5-0"]
+    assert all(r.size_as_written and r.text_as_written and r.path_ends_in_name for r in rows)
