@@ -5,7 +5,9 @@ import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
+from caremart import schemas
 from caremart.plans import posing
+from caremart.sources import delimited
 from caremart.streaming import ingest
 
 THRESHOLD = "spark.sql.sources.parallelPartitionDiscovery.threshold"
@@ -98,3 +100,14 @@ def test_document_files_are_compared_by_digest(spark, turns):
     # The turn that is there twice is one file, which both rows of it wrote.
     assert sorted(r.document_id for r in rows) == ["1-0", "2-1", "4-1", "5-0", "5-0"]
     assert all(r.size_as_written and r.text_as_written and r.path_ends_in_name for r in rows)
+
+
+def test_clean_lines_build_no_json(spark, tmp_path):
+    """JSON of what is rescued stands behind a condition; what a line holds of odd cells is the same as ever."""
+    (tmp_path / "a.csv").write_text('a,b,x\n1,2,\n3,4,"say ""hi"""\n5\n')
+    rows = delimited.read_csv_rescued(
+        spark, delimited.list_files(spark, str(tmp_path)), schemas.ddl("a string, b string"))
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert "CASE WHEN" in plan[: plan.index("to_json")]
+    assert sorted((r.a, r.b, r[delimited.RESCUED]) for r in rows.collect()) == [
+        ("1", "2", None), ("3", "4", '{"x":"say \\"hi\\""}'), ("5", None, '{"_corrupt_record":"5"}')]
